@@ -1,7 +1,7 @@
 """Length-delimited binary records of token ids, with a separate offset index.
 
 A record: payload length (u64), masked CRC-32 of these eight bytes (u32), payload, masked CRC-32 of the payload (u32); little-endian.
-Payload: 1 if doc_id is there else 0 (u8), doc_id (i64), ids (u32 each). Index file: offset and size of each record (u64 pairs).
+Payload: flags (u8: 1 if doc_id is there, 2 if ids take four bytes), doc_id (i64), ids (u16 each where all fit, else u32). Index file: offset and size of each record (u64 pairs).
 CRC-32 is zlib's; masked: rotated right by 15 bits plus 0xA282EAD8.
 """
 
@@ -64,7 +64,8 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str | None = None, en
                 data, index = store.open_output_stream(f"{path}.rec"), store.open_output_stream(f"{path}.idx")
             for doc, ids in zip(b.column(0).to_pylist(), ids_of):
                 raw = np.array([*ids, end_id], "<u4")
-                rec = frame(struct.pack("<Bq", doc is not None, doc or 0) + raw.tobytes())
+                wide = int(raw.max()) > 0xFFFF
+                rec = frame(struct.pack("<Bq", (doc is not None) + 2 * wide, doc or 0) + (raw if wide else raw.astype("<u2")).tobytes())
                 data.write(rec)
                 index.write(struct.pack("<QQ", at, len(rec)))
                 at, records, total = at + len(rec), records + 1, total + len(raw)
@@ -88,8 +89,8 @@ def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
 
 
 def _parse(payload: bytes) -> tuple[int | None, np.ndarray]:
-    there, doc = struct.unpack_from("<Bq", payload)
-    return (doc if there else None), np.frombuffer(payload, "<u4", offset=9)
+    flags, doc = struct.unpack_from("<Bq", payload)
+    return (doc if flags & 1 else None), np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=9).astype("<u4")
 
 
 def read_digests(spark, manifest: list) -> DataFrame:
