@@ -84,11 +84,16 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (F.levenshtein(a, b, 1) >= 0) & (F.levenshtein(a, b, 1) <= 1)
 
 
+def long_date(c: Column) -> Column:
+    """Date of 'March 5, 2024', '5 March 2024' or '5-Mar-2024', months whole or in three letters; null for anything else."""
+    words = F.initcap(F.trim(F.regexp_replace(c, r"[\s,\-]+", " ")))
+    forms = ("MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy")
+    return F.coalesce(*[F.try_to_timestamp(words, F.lit(f)) for f in forms]).cast("date")
+
+
 def master_list_date(c: Column) -> Column:
     """Date after 'as on' or 'as of', in either order of day and month; null if there is none."""
-    lead = r"(?i)as\s+(?:on|of)\s+"
-    us, uk = F.regexp_extract(c, lead + r"([A-Za-z]+\s+\d{1,2},?\s+\d{4})", 1), F.regexp_extract(c, lead + r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})", 1)
-    return F.coalesce(F.try_to_timestamp(F.initcap(F.translate(us, ",", "")), F.lit("MMMM d yyyy")), F.try_to_timestamp(F.initcap(uk), F.lit("d MMMM yyyy"))).cast("date")
+    return long_date(F.regexp_extract(c, r"(?i)as\s+(?:on|of)\s+([A-Za-z]+\s+\d{1,2},?\s+\d{4}|\d{1,2}[\s\-][A-Za-z]+[\s\-]\d{4})", 1))
 
 
 def category_key(c: Column) -> Column:

@@ -24,8 +24,11 @@ def match(master: DataFrame, deltas: DataFrame) -> DataFrame:
     t3 = da.join(m, F.col("ak") == m.k).select("delta_ord", "master_key", F.lit(3), "pos")
     ma = m.select("master_key", F.explode("aliases").alias("a")).select("master_key", N.canonical_key(F.col("a")).alias("ak"))
     t4 = d.join(ma, d.dk == ma.ak).select("delta_ord", "master_key", F.lit(4), F.lit(0)).distinct()
-    near = lambda x, k: x.withColumn("p5", F.substring(k, 1, 5)).withColumn("dg", N.digits_of(F.col(k)))
-    c = near(d.filter(F.length("dk") >= 16), "dk").join(near(m.select("k").distinct(), "k"), ["p5", "dg"]).filter((F.col("dk") != F.col("k")) & N.within_one_edit(F.col("dk"), F.col("k")))
+    # within one edit: the keys share a form with at most one letter cut out; guards ride along, so no block of like names is compared in full
+    cuts = lambda k: F.explode(F.array_distinct(F.concat(F.array(k), F.transform(F.sequence(F.lit(1), F.length(k)), lambda i: F.concat(k.substr(F.lit(1), i - 1), k.substr(i + 1, F.length(k)))))))
+    near = lambda x, k: x.withColumn("p5", F.substring(k, 1, 5)).withColumn("dg", N.digits_of(F.col(k))).withColumn("form", cuts(F.col(k)))
+    dn = near(d.filter(F.length("dk") >= 16).select("delta_ord", "dk"), "dk")
+    c = dn.join(near(m.select("k").filter(F.length("k") >= 15).distinct(), "k"), ["form", "p5", "dg"]).filter((F.col("dk") != F.col("k")) & N.within_one_edit(F.col("dk"), F.col("k")))
     one = c.groupBy("delta_ord").agg(F.count_distinct("k").alias("n"), F.min("k").alias("k")).filter("n = 1")
     t5 = one.join(m, "k").select("delta_ord", "master_key", F.lit(5), F.lit(0))
     best = Window.partitionBy("delta_ord")
@@ -46,3 +49,55 @@ def reconcile(master: DataFrame, deltas: DataFrame) -> DataFrame:
 def unmatched(master: DataFrame, deltas: DataFrame) -> DataFrame:
     m = master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"))
     return deltas.filter("entity_name is not null").join(match(m, deltas).select(F.col("delta_ord").alias("ord")).distinct(), "ord", "left_anti")
+
+
+MATCH_TYPES = {1: "Exact", 2: "Normalised", 3: "Alias", 4: "Alias", 5: "Approximate"}
+
+
+def _collapsed(master: DataFrame) -> DataFrame:
+    return master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"), F.max_by("status", "ord").alias("master_status"))
+
+
+def applied(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """One row per change and master row it meets: the history. Restored reads Active. Order: effective_date, ord."""
+    m = _collapsed(master)
+    kind = F.create_map(*[F.lit(x) for kv in MATCH_TYPES.items() for x in kv])
+    d = deltas.select(F.col("ord").alias("delta_ord"), "entity_name", "action", "effective_date", "pr_title", "pr_link", "note")
+    hit = match(m, deltas).join(d, "delta_ord").join(m, "master_key")
+    status = F.when(F.col("action") == "Restored", "Active").otherwise(F.col("action"))
+    return hit.select("master_key", "name", "master_status", F.col("delta_ord").alias("ord"), status.alias("status"), "effective_date", "pr_title", "pr_link", "note", F.col("entity_name").alias("pr_name"), kind[F.col("tier")].alias("match_type"))
+
+
+def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Each master row with its changes as an ordered array, its final status, and where that came from."""
+    a = applied(master, deltas)
+    item = F.struct("effective_date", "ord", "status", "pr_title", "pr_link", "note", "pr_name", "match_type")
+    h = a.groupBy("master_key").agg(F.array_sort(F.collect_list(item)).alias("history"))
+    last = F.try_element_at("history", F.lit(-1))
+    return _collapsed(master).join(h, "master_key", "left").select(
+        "master_key", "name", "master_status", F.coalesce(last["status"], "master_status").alias("final_status"), F.when(F.size("history") > 0, "Yes").otherwise("No").alias("changed"), last["effective_date"].alias("effective_date"),
+        F.when(last.isNotNull(), F.concat(F.lit("Press Release ("), F.coalesce(last["pr_title"], F.lit("")), F.lit(")"))).otherwise("Master List").alias("status_source"), "history",
+    )
+
+
+def release_summary(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Per release (its link, else its title): names expected and extracted, by how they matched. Releases without names are left out."""
+    m = _collapsed(master)
+    tier = match(m, deltas).groupBy("delta_ord").agg(F.first("tier").alias("tier"))
+    d = deltas.filter("coalesce(entity_name, '') <> ''").withColumn("release", F.coalesce(F.nullif("pr_link", F.lit("")), "pr_title")).join(tier, F.col("ord") == F.col("delta_ord"), "left")
+    n = lambda *tiers: F.count_if(F.col("tier").isin(*tiers))
+    order = F.struct("effective_date", "ord")
+    g = d.groupBy("release").agg(
+        F.min_by(F.struct("pr_title", "pr_link", "action", "effective_date", "expected_count"), order).alias("f"), F.count("*").alias("extracted"), n(1).alias("exact"), n(2).alias("normalised"), n(3, 4).alias("alias"), n(5).alias("approximate"), F.count_if(F.col("tier").isNull()).alias("not_in_master"),
+    )
+    expected = F.col("f.expected_count")
+    complete = F.when(expected.isNull(), "n/a (no count in title)").when(expected == F.col("extracted"), "Yes").otherwise(F.format_string("No (%d of %d)", "extracted", expected))
+    matched = F.col("exact") + F.col("normalised") + F.col("alias") + F.col("approximate")
+    return g.select("release", "f.*", "extracted", "exact", "normalised", "alias", "approximate", matched.alias("matched"), "not_in_master", complete.alias("complete"))
+
+
+def change_log(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Every change that met the master list, and every one whose release gave no name."""
+    named = applied(master, deltas).select("name", F.col("status").alias("action"), "effective_date", "pr_title", "pr_link", F.lit("verify against source press release").alias("flag"), F.coalesce("note", F.lit("")).alias("note"), "pr_name", "match_type")
+    lone = deltas.filter("coalesce(entity_name, '') = ''").select(F.lit("(no name extracted)").alias("name"), "action", "effective_date", "pr_title", "pr_link", F.lit("names not extracted automatically").alias("flag"), F.lit("").alias("note"), F.lit("").alias("pr_name"), F.lit("").alias("match_type"))
+    return named.unionByName(lone)
