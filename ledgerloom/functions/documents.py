@@ -10,81 +10,85 @@ from pyspark.sql.functions import pandas_udf
 from ..sources import markup
 from . import clean
 
-ROWS = "array<struct<table_ix:int,row_ix:int,cells:array<string>>>"
+LISTS = "array<string>"
 
 
-@pandas_udf(ROWS)
-def html_tables(html: pd.Series) -> pd.Series:
+def _per_document(schema: str, parse, c) -> Column:
+    """parse(document) for every document, in Arrow batches. The function is made at call time, as its type needs a session."""
+
+    @pandas_udf(schema)
+    def run(documents: pd.Series) -> pd.Series:
+        return documents.map(parse)
+
+    return run(c)
+
+
+def _fields(*names: str):
+    return lambda rows: [dict(zip(names, r)) for r in rows]
+
+
+def html_tables(html) -> Column:
     """Rows of every table with two rows or more."""
-    return html.map(lambda h: [{"table_ix": t, "row_ix": i, "cells": r} for t, rows in enumerate(markup.tables(h)) for i, r in enumerate(rows)])
+    row = _fields("table_ix", "row_ix", "cells")
+    return _per_document("array<struct<table_ix:int,row_ix:int,cells:array<string>>>", lambda h: row((t, i, r) for t, rows in enumerate(markup.tables(h)) for i, r in enumerate(rows)), html)
 
 
-@pandas_udf("array<struct<href:string,text:string,around:string>>")
-def html_links(html: pd.Series) -> pd.Series:
+def html_links(html) -> Column:
     """Links with their text and the text of their row."""
-    return html.map(lambda h: [dict(zip(("href", "text", "around"), x)) for x in markup.Page(h).links])
+    row = _fields("href", "text", "around")
+    return _per_document("array<struct<href:string,text:string,around:string>>", lambda h: row(markup.Page(h).links), html)
 
 
-@pandas_udf("string")
-def html_text(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: markup.Page(h).text)
+def html_text(html) -> Column:
+    return _per_document("string", lambda h: markup.Page(h).text, html)
 
 
-@pandas_udf("array<struct<intm_id:string,label:string,expected_count:int>>")
-def hub_counts(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: [dict(zip(("intm_id", "label", "expected_count"), x)) for x in markup.hub_counts(h)])
+def hub_counts(html) -> Column:
+    row = _fields("intm_id", "label", "expected_count")
+    return _per_document("array<struct<intm_id:string,label:string,expected_count:int>>", lambda h: row(markup.hub_counts(h)), html)
 
 
-@pandas_udf("array<string>")
-def intermediary_names(html: pd.Series) -> pd.Series:
-    return html.map(markup.intermediary_names)
+def intermediary_names(html) -> Column:
+    return _per_document(LISTS, markup.intermediary_names, html)
 
 
-@pandas_udf("array<string>")
-def release_table_names(html: pd.Series) -> pd.Series:
-    return html.map(markup.release_table_names)
+def release_table_names(html) -> Column:
+    return _per_document(LISTS, markup.release_table_names, html)
 
 
-def table_names(html: Column, header_pattern: str | None = None) -> Column:
+def table_names(html, header_pattern: str | None = None) -> Column:
     """Names of a page's tables: Devanagari stripped, 180 characters at most."""
-
-    @pandas_udf("array<string>")
-    def raw(h: pd.Series) -> pd.Series:
-        return h.map(lambda x: markup.page_table_names(x, header_pattern))
-
-    return F.filter(F.transform(raw(html), clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE))
+    raw = _per_document(LISTS, lambda h: markup.page_table_names(h, header_pattern), html)
+    return F.filter(F.transform(raw, clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE))
 
 
-def split_companies(names: Column) -> Column:
+def split_companies(names) -> Column:
     """Two companies in one cell become two, at the legal form of the first."""
     return F.array_distinct(F.flatten(F.transform(names, lambda n: F.split(n, r"(?<=\b(?:Limited|Ltd\.|Ltd))\s+(?=[A-Z][A-Za-z])"))))
 
 
-def numbered_entries(text: Column, restart: bool = False, reject: str | None = None) -> Column:
-    @pandas_udf("array<string>")
-    def run(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: markup.numbered_entries(x, restart, reject))
+def numbered_entries(text, restart: bool = False, reject: str | None = None) -> Column:
+    return _per_document(LISTS, lambda t: markup.numbered_entries(t, restart, reject), text)
 
-    return run(text)
 
+def list_line_names(text, heading: str, keyword: str, stop: str | None = None) -> Column:
+    return _per_document(LISTS, lambda t: markup.list_line_names(t, heading, keyword, stop), text)
 
-def list_line_names(text: Column, heading: str, keyword: str, stop: str | None = None) -> Column:
-    @pandas_udf("array<string>")
-    def run(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: markup.list_line_names(x, heading, keyword, stop))
 
-    return run(text)
+def workbook_rows(content) -> Column:
+    row = _fields("sheet", "row_ix", "cells")
+    return _per_document("array<struct<sheet:string,row_ix:int,cells:array<string>>>", lambda c: row(markup.workbook(c)), content)
 
 
-@pandas_udf("array<struct<sheet:string,row_ix:int,cells:array<string>>>")
-def workbook_rows(content: pd.Series) -> pd.Series:
-    return content.map(lambda c: [dict(zip(("sheet", "row_ix", "cells"), r)) for r in markup.workbook(c)])
+def workbook_names(content) -> Column:
+    """struct(names: array of (name, classification), title)."""
 
+    @pandas_udf("struct<names:array<struct<name:string,classification:string>>,title:string>")
+    def run(contents: pd.Series) -> pd.DataFrame:
+        got, row = [markup.workbook_names(c) for c in contents], _fields("name", "classification")
+        return pd.DataFrame({"names": [row(g[0]) for g in got], "title": [g[1] for g in got]})
 
-@pandas_udf("struct<names:array<struct<name:string,classification:string>>,title:string>")
-def workbook_names(content: pd.Series) -> pd.DataFrame:
-    got = [markup.workbook_names(c) for c in content]
-    return pd.DataFrame({"names": [[{"name": n, "classification": k} for n, k in g[0]] for g in got], "title": [g[1] for g in got]})
+    return run(content)
 
 
 def prose_names(text: Column) -> Column:

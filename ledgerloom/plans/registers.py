@@ -193,8 +193,8 @@ ORACLE = {
     "final_status": f"""with {_TIERS}, l as (select user_id, arg_max(new_status, (effective_date, ord)) as s, max(effective_date) as effective_date, arg_max(pr_title, (effective_date, ord)) as t, count(*) as n from d where match_type is not null group by user_id)
         select name, status as master_status, coalesce(s, status) as final_status, case when n > 0 then 'Yes' else 'No' end as changed, effective_date, case when n > 0 then 'Press Release (' || t || ')' else 'Master List' end as status_source, coalesce(n, 0) as n_changes from m left join l on m.ord = l.user_id""",
     "change_log": f"""with {_TIERS} select m.name, new_status as action, effective_date, pr_title, pr_link, 'verify against source press release' as flag, '' as note, entity_name as pr_name, match_type from d join m on d.user_id = m.ord where match_type is not null""",
-    "release_summary": f"""with {_TIERS} select pr_link as release, any_value(pr_title) as pr_title, pr_link, any_value(action) as action, any_value(effective_date) as effective_date, max(expected_count) as expected_count, count(*) as extracted, count_if(match_type = 'Exact') as exact, count_if(match_type = 'Normalised') as normalised,
-        count_if(match_type = 'Alias') as alias, count_if(match_type = 'Approximate') as approximate, count(match_type) as matched, count(*) - count(match_type) as not_in_master,
+    "release_summary": f"""with {_TIERS} select pr_link as release, any_value(pr_title) as pr_title, pr_link, any_value(action) as action, any_value(effective_date) as effective_date, max(expected_count) as expected_count, count(*) as extracted, count(case when match_type = 'Exact' then 1 end) as exact, count(case when match_type = 'Normalised' then 1 end) as normalised,
+        count(case when match_type = 'Alias' then 1 end) as alias, count(case when match_type = 'Approximate' then 1 end) as approximate, count(match_type) as matched, count(*) - count(match_type) as not_in_master,
         case when max(expected_count) is null then 'n/a (no count in title)' when max(expected_count) = count(*) then 'Yes' else 'No (' || count(*) || ' of ' || max(expected_count) || ')' end as complete from d group by pr_link""",
     "unmatched_mentions": f"with {_TIERS} select ord, entity_name, action, effective_date, pr_title, pr_link from d where match_type is null",
     "latest_status": f"""with {_TIERS}, k as (select *, case ord % 5 when 2 then 'OLD' || upper(substr(entity_name, 5, length(entity_name) - 8)) || 'LTD' when 4 then upper(replace(entity_name, ' ', '')) when 3 then upper(split_part(entity_name, ' ', 1)) || 'PVTLTD'

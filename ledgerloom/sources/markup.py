@@ -279,7 +279,7 @@ def release_table_names(html: str | None) -> list[str]:
 def _text_of(node, shared: list[str], formats) -> str:
     kind, value = node.get("t"), node.find("{*}v")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in node.iter("{*}t"))
+        return "".join(t.text or "" for t in node.iterfind(".//{*}t"))
     raw = (value.text or "") if value is not None else ""
     if kind == "s" and raw:
         return shared[int(raw)]
@@ -294,7 +294,7 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
     if "xl/styles.xml" not in book.namelist():
         return set()
     root = ElementTree.fromstring(book.read("xl/styles.xml"))
-    own = {int(f.get("numFmtId")) for f in root.iter("{*}numFmt") if re.search("[dy]", f.get("formatCode", ""))}
+    own = {int(f.get("numFmtId")) for f in root.iterfind(".//{*}numFmt") if re.search("[dy]", f.get("formatCode", ""))}
     styles = root.find("{*}cellXfs")
     return {i for i, x in enumerate(styles if styles is not None else []) if int(x.get("numFmtId", 0)) in own | {14, 15, 16, 17, 22}}
 
@@ -305,16 +305,16 @@ def workbook(content: bytes) -> list[tuple[str, int, list[str]]]:
         names = set(book.namelist())
         shared = []
         if "xl/sharedStrings.xml" in names:
-            shared = ["".join(t.text or "" for t in si.iter("{*}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter("{*}si")]
+            shared = ["".join(t.text or "" for t in si.iterfind(".//{*}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iterfind(".//{*}si")]
         dates = _date_styles(book)
         rels = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         out = []
-        for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iter("{*}sheet"):
+        for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iterfind(".//{*}sheet"):
             target = rels[next(v for k, v in sheet.attrib.items() if k.endswith("}id"))].lstrip("/")
             root = ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
-            for n, row in enumerate(root.iter("{*}row")):
+            for n, row in enumerate(root.iterfind(".//{*}row")):
                 cells: list[str] = []
-                for c in row.iter("{*}c"):
+                for c in row.iterfind(".//{*}c"):
                     letters = re.match("[A-Z]*", c.get("r", "")).group()
                     at = 0
                     for x in letters:
