@@ -75,8 +75,9 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str | None = None, en
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (c.partitionId(), name, records, total)], ["part", "path", "records", "ids"])
 
     d = docs.select(F.col("doc_id").cast("long"), "text")
-    d = d.repartitionByRange(parts, "doc_id", "text") if parts else d.repartitionByRange("doc_id", "text")
-    return d.sortWithinPartitions("doc_id", "text").mapInArrow(run, MANIFEST)
+    by = ["doc_id", F.xxhash64("text")]  # sampled for the ranges by the driver, so no text in it; the hash spreads rows of one doc_id
+    d = d.repartitionByRange(parts, *by) if parts else d.repartitionByRange(*by)
+    return d.sortWithinPartitions(*by, "text").mapInArrow(run, MANIFEST)
 
 
 def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
