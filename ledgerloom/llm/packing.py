@@ -31,9 +31,9 @@ def cuts(total: int, capacity: int, slack: float = 1 / 32, least: int = 32) -> l
     return out
 
 
-def fill(lengths: np.ndarray, capacity: int, least: int = 32) -> tuple[np.ndarray, np.ndarray]:
+def fill(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each piece. Every class fills its own bins; what is left of all classes is mixed, largest first."""
-    k = np.minimum(capacity // lengths, capacity // least)
+    k = capacity // lengths
     where, offset = np.empty(len(k), np.int64), np.empty(len(k), np.int64)
     bins, rest = 0, []
     for c in np.unique(k):
