@@ -1,8 +1,8 @@
 """Homomorphic multiset hash of a text's paragraph pieces, by DataFrame functions only.
 
 A text is cut at sentence and line ends (and after 200 characters) into pieces. Two 64-bit hashes of a piece give a wide vector of 128
-lanes of 0 or 1; a text's fingerprint is the sum of its pieces' vectors and their number, each modulo 2**14. So the order of pieces does
-not matter, and inserting or deleting pieces adds or subtracts their vectors. Four lanes share a long, 16 bits apart.
+lanes of 0 or 1; a text's fingerprint is the sum of its pieces' vectors and their number, each modulo 2**30, more than the pieces any text can have. So the order of pieces does
+not matter, and inserting or deleting pieces adds or subtracts their vectors. Two lanes share a long, 32 bits apart.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = r"[^.!?\n]{1,200}[.!?\n]*|[.!?\n]+"
-FIELD = 0x3FFF
-FIELDS = FIELD * 0x0001000100010001
-ONES = 0x0001000100010001
+FIELD = 0x3FFFFFFF
+ONES = 0x0000000100000001
+FIELDS = FIELD * ONES
 
 
 def pieces(text: Column) -> Column:
@@ -21,13 +21,13 @@ def pieces(text: Column) -> Column:
 
 
 def with_vector(df: DataFrame, text: str, name: str) -> DataFrame:
-    """df with `name`: array of 33 longs, 32 of packed lane sums and one of the number of pieces. Null or empty text: zeros."""
+    """df with `name`: array of 65 longs, 64 of packed lane sums and one of the number of pieces. Null or empty text: zeros."""
     h = df.withColumn("_p", pieces(F.col(text))).withColumn("_h", F.transform("_p", lambda p: F.struct(F.xxhash64(p).alias("a"), F.xxhash64(p, F.lit(1)).alias("b"))))
 
     def lanes(side: str, shift: int) -> Column:
         return F.aggregate("_h", F.lit(0).cast("long"), lambda acc, x: (acc + F.shiftrightunsigned(x[side], shift).bitwiseAND(F.lit(ONES))).bitwiseAND(F.lit(FIELDS)))
 
-    sums = [lanes(side, shift) for side in ("a", "b") for shift in range(16)]
+    sums = [lanes(side, shift) for side in ("a", "b") for shift in range(32)]
     return h.withColumn(name, F.array(*sums, (F.size("_p") % (FIELD + 1)).cast("long"))).drop("_p", "_h")
 
 
@@ -42,9 +42,9 @@ def text_form(v: Column) -> Column:
 
 def _signed(v: Column) -> Column:
     """Lane sums as differences of ones and zeros, around nought."""
-    n = F.element_at(v, 33)
-    lanes = F.flatten(F.transform(F.slice(v, 1, 32), lambda x: F.array(*[F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(FIELD)) for i in range(4)])))
-    return F.transform(lanes, lambda c: ((F.pmod(2 * c - n + 8192, F.lit(16384)) - 8192)).cast("double"))
+    n = F.element_at(v, 65)
+    lanes = F.flatten(F.transform(F.slice(v, 1, 64), lambda x: F.array(*[F.shiftrightunsigned(x, 32 * i).bitwiseAND(F.lit(FIELD)) for i in range(2)])))
+    return F.transform(lanes, lambda c: ((F.pmod(2 * c - n + (1 << 29), F.lit(1 << 30)) - (1 << 29))).cast("double"))
 
 
 def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
