@@ -20,6 +20,7 @@ NOTICES = {
     "this program is free software you can redistribute it and or modify it under the terms of": "gpl",
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
+    "apache license": "apache",
     "licensed under the apache license": "apache",
     "unless required by applicable law or agreed to in writing software distributed under the license": "apache",
     "permission is hereby granted free of charge to any person obtaining a copy": "mit",
@@ -78,7 +79,12 @@ def scan(text: str | None, notices: dict[str, str] = NOTICES) -> dict:
     for i, found in windows.items():
         p, notice, label, k = patterns[i]
         for lo, hi in found:
-            for m in p.finditer(flat, lo, min(hi, len(flat))):
+            left = [(lo, min(hi, len(flat)))]
+            while left:  # the best place of a stretch first, then what lies before and behind it
+                lo, hi = left.pop()
+                if (m := p.search(flat, lo, hi)) is None:
+                    continue
+                left += [(lo, m.start()), (m.end(), hi)]
                 spans.append((label, m.start(), m.end(), sum(m.fuzzy_counts), 1 - sum(m.fuzzy_counts) / len(notice)))
     marks = sorted({x for a, _ in places for x in [a]} | {max(0, s[1]) for s in spans} | {s[2] for s in spans})
     number, before, at = {}, 0, 0
