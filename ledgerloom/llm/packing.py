@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import encode, load
+from .tokens import load
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -66,25 +67,35 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     Tasks tokenise and cut their own documents; then `group` input partitions at a time fill bins on their own, so the one
     shuffle carries piece lengths only. Padding: under `slack` of a slot, and one open bin per group.
     Null or empty text: one piece that holds the end id alone. Repeated rows are packed once each; a null doc_id stays null.
-    Empty table: no rows. Texts of any length are cut into full sequences.
+    Empty table: no rows. Texts of any length are cut into full sequences. Other columns of docs are not read, whatever their names.
     """
 
-    def pieces(frames):
-        t, part = load(tokenizer), TaskContext.get().partitionId()
-        for f in frames:
-            rows = []
-            for doc, ids in zip(f.doc_id, encode(t, f.text)):
-                raw = np.array([*ids, end_id], "<u4")
-                start = 0
-                for n in cuts(len(raw), capacity):
-                    rows.append((None if pd.isna(doc) else int(doc), start, n, zlib.crc32(raw[start : start + n]), len(raw), part))
+    end = struct.pack("<I", end_id)
+
+    def pieces(batches):
+        encode, part = load(tokenizer), TaskContext.get().partitionId()
+        for b in batches:
+            docs, starts, lengths, crcs, totals = [], [], [], [], []
+            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
+                raw = memoryview(ids + end)
+                total, start = len(raw) // 4, 0
+                for n in cuts(total, capacity):
+                    docs.append(doc)
+                    starts.append(start)
+                    lengths.append(n)
+                    crcs.append(zlib.crc32(raw[4 * start : 4 * (start + n)]))
+                    totals.append(total)
                     start += n
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part"]).astype({"doc_id": "Int64"})
+            columns = [pa.array(c, pa.int64()) for c in (docs, starts, lengths, crcs, totals, [part] * len(docs))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part"])
 
     def bins(key, f):
         f = f.sort_values(["part", "doc_id", "doc_tokens", "start", "ids_crc32"], ignore_index=True)
         where, offset = fill(f.length.to_numpy(), capacity)
         return f.assign(sequence_id=(int(key[0]) << 32) + where, offset=offset).drop(columns=["part", "bin_group"]).astype({"doc_id": "Int64"})
 
-    p = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, SCHEMA)
+    d = docs.select(F.col("doc_id").cast("long"), "text")
+    if d.rdd.getNumPartitions() < (cores := d.sparkSession.sparkContext.defaultParallelism):
+        d = d.repartition(cores)  # few files of few row groups: all cores tokenise
+    p = d.mapInArrow(pieces, SCHEMA)
     return p.withColumn("bin_group", F.floor(F.col("part") / group)).groupBy("bin_group").applyInPandas(bins, PACKED)

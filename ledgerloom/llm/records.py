@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shared_dir
-from .tokens import encode, load
+from .tokens import load
 
 MANIFEST = "part long, path string, records long, ids long"
 
@@ -49,21 +49,23 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str | None = None, en
 
     Files are named by task attempt, so a lost or repeated task never mixes with another; the manifest names those that count.
     Null or empty text: the end id alone. Null doc_id comes first. Repeated rows each have a record. Empty table: no files.
+    Other columns of docs are not read, whatever their names.
     """
     folder = folder or f"{shared_dir(docs.sparkSession)}/records-{uuid.uuid4().hex}"
 
+    end = struct.pack("<I", end_id)
+
     def run(batches):
-        t, c, seq, data, index = load(tokenizer), TaskContext.get(), 0, None, None
+        encode, c, data, index = load(tokenizer), TaskContext.get(), None, None
         name = f"{folder}/part-{c.partitionId():06d}-{c.taskAttemptId()}"
         at = records = total = 0
         for b in batches:
-            ids_of = encode(t, b.column(1).to_pylist())
             if data is None and b.num_rows:
                 store, path = fs.FileSystem.from_uri(name)
                 store.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 data, index = store.open_output_stream(f"{path}.rec"), store.open_output_stream(f"{path}.idx")
-            for doc, ids in zip(b.column(0).to_pylist(), ids_of):
-                raw = np.array([*ids, end_id], "<u4")
+            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
+                raw = np.frombuffer(ids + end, "<u4")
                 wide = int(raw.max()) > 0xFFFF
                 rec = frame(struct.pack("<Bq", (doc is not None) + 2 * wide, doc or 0) + (raw if wide else raw.astype("<u2")).tobytes())
                 data.write(rec)
