@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -13,10 +14,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where all is one machine, a temporary one stands in."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerloom-"))
     at = sc.getCheckpointDir()
     return "file:///" + at[6:].lstrip("/") if at.startswith("file:/") else at
 
@@ -27,6 +31,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A durable cut of df, marked for broadcast where it has at most `rows` rows; beyond that it joins by shuffle."""
+    df = durable(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def runs(batches, key: str):
     """Yield record batches that hold whole runs of `key`, from batches sorted by it. A run may cross batches."""
     held: list[pa.Table] = []

@@ -1,10 +1,12 @@
-"""Mixing sources to target weights by repetition rates."""
+"""Mixing sources to target weights by repetition rates, by DataFrame functions only."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import small
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -27,25 +29,21 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     return per.select("source", "source_size", "n_docs", F.least(F.col("cap"), F.coalesce(first, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 11, block: int = 512, size: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 11, size: str | None = None) -> DataFrame:
     """docs with size, source_size, target, copies: floor(rate) plus one hash-seeded Bernoulli copy at the rate's fraction.
 
-    The draws of about `block` rows of a source share one uniform number from a hash of source, block and seed: the r-th row by size
-    draws a copy when r*fraction + u passes a whole number. Each row's chance is the fraction exactly, and a source's words come near
-    its target. Blocks are hashed, so a source with a third of all rows is dealt over many tasks.
-    Null text: size 0. Null source: a source of its own, last. Null doc_id: hashed as the empty string. Repeated rows each draw.
-    Sizes all zero: no copies. Empty table: no rows. Columns of these names in docs are replaced.
+    Each row draws from a hash of its own (seed, doc_id, text) alone: what it gets does not depend on other rows but through its
+    source's rate, no row meets another, and only the rates (a row per source) move. A source's words deviate from its target by
+    about sqrt(sum of size**2 * f * (1 - f)).
+    Null text: size 0. Null source: a source of its own, last. Null doc_id: hashed as the empty string, so its text decides. Rows equal
+    in doc_id and text draw alike; others on their own. Sizes all zero: no copies. Empty table: no rows. Long texts count whole.
+    Columns of these names in docs are replaced.
     """
     n = F.col(size) if size else F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    docs = docs.withColumn("size", n).drop("source_size", "target", "copies", "n_docs", "rate", "bin", "rank")
-    t = targets(docs.select("source", "size"), weights, share, most)
-    d = docs.alias("d").join(t.withColumnRenamed("source", "source_name").alias("t"), F.col("d.source").eqNullSafe(F.col("source_name"))).drop("source_name")
-    number = lambda *c: F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(x.cast("string"), F.lit("")) for x in c]).cast("binary")), 1, 12), 16, 10).cast("long")
-    d = d.withColumn("bin", number(F.col("doc_id"), F.lit(seed)) % F.ceil(F.col("n_docs") / block))
-    d = d.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    by = Window.partitionBy("source", "bin").orderBy("size", "doc_id", *(["text"] if "text" in docs.columns else []))
-    d = d.withColumn("rank", F.row_number().over(by))
-    u = number(F.col("source"), F.col("bin"), F.lit(seed)) / float(1 << 48)
-    frac = F.col("rate") - F.floor("rate")
-    extra = F.floor(F.col("rank") * frac + u) - F.floor((F.col("rank") - 1) * frac + u)
-    return d.withColumn("copies", (F.floor("rate") + extra).cast("long")).drop("n_docs", "bin", "rate", "rank")
+    docs = docs.withColumn("size", n).drop("source_size", "target", "copies", "n_docs")
+    t = small(targets(docs.select("source", "size"), weights, share, most).drop("n_docs").withColumnRenamed("source", "_source"))
+    d = docs.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    told = [F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *([F.coalesce("text", F.lit(""))] if "text" in docs.columns else [])]
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", *told).cast("binary")), 1, 12), 16, 10).cast("long") / float(1 << 48)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    return d.withColumn("copies", (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long"))

@@ -55,8 +55,7 @@ def op9_language(spark, sf_dir):
 
 
 def op10_mixing(spark, sf_dir):
-    sized = _docs(spark, sf_dir).select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long").alias("size"))
-    return mixing.mix(sized, size="size").select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixing.mix(_docs(spark, sf_dir).select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def pipeline(spark, sf_dir):
@@ -72,17 +71,13 @@ def queries():
 _TABLE = ",".join(map(str, sharding.fill_table(SHARDS)))
 
 
-def _number(*cols):
-    parts = " || '|' || ".join(f"coalesce(cast({c} as varchar), '')" for c in cols)
-    return f"cast('0x' || substr(md5({parts}), 1, 12) as bigint)"
-
-
 ORACLE = {
     "op6_sharding": f"""
         select doc_id, slot, 'shard-' || lpad(string_split('{_TABLE}', ',')[slot + 1], 2, '0') as shard
         from (select doc_id, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 12) as bigint) % 8191 as slot from documents)""",
     "op10_mixing": f"""
-        with d as (select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size from documents),
+        with d as (select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
+                     cast('0x' || substr(md5('11|' || coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '')), 1, 12) as bigint) / 281474976710656.0::double as u from documents),
         s as (select source, cast(sum(size) as bigint) as source_size, count(*) as n_docs,
                      [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from d group by source),
         f as (select *, source_size * 2.0::double as cap, sum(source_size) over () * 1.5::double as total from s),
@@ -90,10 +85,6 @@ ORACLE = {
                      / sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as level from f),
         h as (select *, case when level * weight <= cap then row_number() over (order by cap / weight, source nulls last) end as fill_rank from g),
         t as (select *, least(cap, coalesce((select arg_min(level, fill_rank) from h where fill_rank is not null), 0) * weight) as target from h),
-        j as (select d.doc_id, d.source, d.size, t.source_size, t.target, case when t.source_size > 0 then t.target / t.source_size else 0 end as rate,
-                     {_number("d.doc_id", "11")} % cast(ceil(t.n_docs / 512) as bigint) as bin from d join t on d.source is not distinct from t.source),
-        r as (select *, row_number() over (partition by source, bin order by size, doc_id nulls first) as rank, rate - floor(rate) as frac,
-                     {_number("source", "bin", "11")} / 281474976710656.0::double as u from j)
-        select doc_id, size, source_size, target,
-               size * cast(floor(rate) + floor(rank * frac + u) - floor((rank - 1) * frac + u) as bigint) as taken from r""",
+        j as (select d.*, t.source_size, t.target, case when t.source_size > 0 then t.target / t.source_size else 0 end as rate from d join t on d.source is not distinct from t.source)
+        select doc_id, size, source_size, target, size * cast(floor(rate) + case when u < rate - floor(rate) then 1 else 0 end as bigint) as taken from j""",
 }
