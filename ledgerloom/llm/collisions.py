@@ -1,9 +1,16 @@
 """Embedding near-duplicates by collision counting on sorted one-dimensional projections.
 
-Each of `tables` lists sorts the vectors by a compound of `wide` projections cut into cells. In a cell, `count` further projections are
-compared in windows centred on the query, and a pair passes with `least` collisions or more: the largest count that keeps
-`recall` of pairs at the threshold under the normal model of projected differences. Passing pairs are verified exactly.
-The first pass carries one byte per projection; vectors are carried in the second pass only, for those that passed with someone.
+Each of several lists holds the vectors of a label sorted by a projection of its own. In a list, a query meets the rows whose projection
+lies in a window centred on its own; over `count` further projections, the windows that hold both are counted, and a pair passes with
+`least` collisions or more: the largest count that keeps `recall` of the pairs at the threshold, as their projected differences are
+normal. Passing pairs are verified by cosine in double precision.
+
+One projection alone leaves a third of a label in each window, so work would grow with the square of a label. Therefore a list is cut
+into cells of `cuts` more projections, as many as keep about `rows` rows of the largest label in a cell; and there are as many lists as
+let a pair at the threshold share a cell and a window in one of them with probability `recall`. A label of up to `rows` rows is not cut.
+Cells that hold far more (near copies) are dealt out as pairs of blocks, so no task holds a cell of unbounded size.
+
+The first pass carries projections only, a byte or two each; vectors travel in the second pass, for rows that passed with someone.
 """
 
 from __future__ import annotations
@@ -15,141 +22,204 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounds, connected_components, durable, runs
-
-STEP = 64.0  # one-byte grid of a projection: 1/64 of a unit, after scaling to unit spread over dimensions
-
+from .common import bounds, connected_components, durable, runs, small
 
-def window_and_least(threshold: float, count: int, recall: float = 0.9999) -> tuple[int, int]:
-    """Window in grid steps (three deviations of a pair at the threshold, rounded up by one) and the calibrated count."""
-    sd = math.sqrt(2 - 2 * threshold)
-    p, least, tail = math.erf(3 / math.sqrt(2)), count, 0.0
-    while least > 0:
-        tail += math.comb(count, least) * p**least * (1 - p) ** (count - least)
-        if tail >= recall:
-            break
-        least -= 1
-    return math.ceil(3 * sd * STEP / 2) + 1, least
+STEP = 64.0  # grid of a projection: 1/64 of a unit, where a unit vector's projection has a deviation of 1
+DEVIATIONS = 3.0  # half a window, in deviations of a pair at the threshold
+CELL = 10.0  # a cell, in the same deviations
 
 
 class Projections:
-    def __init__(self, threshold=0.98, tables=10, wide=8, count=16, seed=5):
-        self.threshold, self.tables, self.wide, self.count, self.seed = threshold, tables, wide, count, seed
-        self.width = 10 * math.sqrt(2 - 2 * threshold)  # of a cell: ten deviations of a pair at the threshold
-        self.window, self.least = window_and_least(threshold, count)
+    """Lists, cells, window and count for vectors of one threshold, of which a label holds up to `largest`."""
 
-    def project(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cells' keys (rows x tables) and one-byte projections of unit vectors."""
+    def __init__(self, largest: int, threshold: float = 0.98, count: int = 16, recall: float = 0.999, rows: int = 512, seed: int = 5):
+        self.threshold, self.count, self.seed = threshold, count, seed
+        sd = math.sqrt(2 - 2 * threshold)
+        self.window, self.width = math.ceil(DEVIATIONS * sd * STEP) + 1, CELL * sd
+        inside = math.erf(DEVIATIONS / math.sqrt(2))
+        together = 1 - math.sqrt(2 / math.pi) / CELL  # a pair at the threshold in one cell of one projection
+        z = self.width / math.sqrt(2)
+        apart = math.erf(z / math.sqrt(2)) - math.sqrt(2 / math.pi) / z * (1 - math.exp(-z * z / 2))  # an unlike pair, at right angles
+        self.cuts = max(0, math.ceil(math.log(max(1, largest) / rows) / -math.log(apart)))
+        met = inside * together**self.cuts
+        self.lists = max(2, math.ceil(math.log(1 - recall) / math.log(1 - met)))
+        self.least, tail = count, 0.0
+        while self.least > 0:
+            tail += math.comb(count, self.least) * inside**self.least * (1 - inside) ** (count - self.least)
+            if tail >= 1 - (1 - recall) / 10:
+                break
+            self.least -= 1
+
+    def project(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells (rows x lists, hashed), the lists' own projections (rows x lists) and those to count (rows x count), of unit vectors."""
         rng = np.random.default_rng([self.seed, x.shape[1]])
-        a = rng.standard_normal((x.shape[1], self.tables * self.wide))
-        shift = rng.uniform(0, self.width, self.tables * self.wide)
-        cells = np.floor((x @ a + shift) / self.width).astype(np.int64).reshape(len(x), self.tables, self.wide)
-        keys = np.zeros((len(x), self.tables), np.uint64)
-        for i in range(self.wide):
-            keys = (keys ^ cells[:, :, i].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            keys ^= keys >> np.uint64(29)
-        b = rng.standard_normal((x.shape[1], self.count))
-        return keys.view(np.int64), np.clip(np.rint(x @ b * STEP / 2), -127, 127).astype(np.int8)
+        grid = lambda n: np.clip(np.rint(x @ rng.standard_normal((x.shape[1], n)) * STEP), -32_000, 32_000).astype("<i2")
+        own, counted = grid(self.lists), grid(self.count)
+        cells = np.zeros((len(x), self.lists), np.uint64)
+        for _ in range(self.cuts):
+            at = np.floor((x @ rng.standard_normal((x.shape[1], self.lists)) + rng.uniform(0, self.width, self.lists)) / self.width).astype(np.int64)
+            cells = (cells ^ at.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            cells ^= cells >> np.uint64(29)
+        return cells.view(np.int64), own, counted
+
+
+def _vectors(column) -> np.ndarray:
+    """Equally long arrays of a column as a matrix."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _units(column) -> np.ndarray:
-    x = np.array(column.to_pylist(), np.float64)
+    x = _vectors(column)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _collide(q: np.ndarray, p: Projections, at: slice) -> np.ndarray:
-    """Rows `at` against all rows of the cell: do they pass the count?"""
-    hits = np.zeros((len(q[at]), len(q)), np.int16)
-    for i in range(q.shape[1]):
-        hits += np.abs(q[at, i, None] - q[None, :, i]) <= p.window
-    return hits >= p.least
+def _packed(column, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
 
+def _bytes(table: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in table], pa.binary())
+
+
+def _hits(a: np.ndarray, z: np.ndarray, p: Projections) -> np.ndarray:
+    """Which rows of a and z collide in enough windows."""
+    n = np.zeros((len(a), len(z)), np.int8)
+    for i in range(a.shape[1]):
+        n += np.abs(a[:, i, None].astype(np.int32) - z[None, :, i]) <= p.window
+    return n >= p.least
+
+
+def _windows(own: np.ndarray, first: np.ndarray, second: np.ndarray, p: Projections, block: int = 256):
+    """Rows of `first` by blocks, in the order of the list's projection, and the rows of `second` in the span of their windows."""
+    a, z = first[np.argsort(own[first], kind="stable")], second[np.argsort(own[second], kind="stable")]
+    values = own[z].astype(np.int64)
+    for i in range(0, len(a), block):
+        part = a[i : i + block]
+        lo = np.searchsorted(values, int(own[part[0]]) - p.window, "left")
+        hi = np.searchsorted(values, int(own[part[-1]]) + p.window, "right")
+        if hi > lo:
+            yield part, z[lo:hi]
+
+
+def _dealt(listed: DataFrame) -> DataFrame:
+    """Rows of each cell as pairs of blocks: `task` (the key to meet on) and `side`, the row's block there (0 or 1; 2: the only one).
+
+    A cell of g rows has about sqrt(g / 64) blocks; each pair of them is a task, so a task holds about 2 * sqrt(64 * g) rows.
+    """
+    sizes = listed.groupBy("key").agg(F.count("*").alias("g")).filter("g > 256").select("key", F.ceil(F.sqrt(F.col("g") / 64)).cast("int").alias("s"))
+    d = listed.join(small(sizes), "key", "left").withColumn("s", F.coalesce("s", F.lit(1)))
+    d = d.withColumn("own", F.pmod(F.xxhash64("node"), F.col("s")).cast("int"))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return d.withColumn("side", side.cast("int")).withColumn("task", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).drop("s", "own", "other", "key")
 
-def near_duplicates(vectors: DataFrame, p: Projections | None = None, block: int = 512) -> DataFrame:
+
+def _pairs(own: np.ndarray, side: np.ndarray, p: Projections):
+    """Blocks of rows that a task compares. Within one block each pair is seen from both sides, across two blocks once."""
+    only = np.flatnonzero(side == 2)
+    if len(only):
+        yield from ((a, z, True) for a, z in _windows(own, only, only, p))
+    else:
+        yield from ((a, z, False) for a, z in _windows(own, np.flatnonzero(side == 0), np.flatnonzero(side == 1), p))
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, **options) -> DataFrame:
     """vec_id, n_links, component_id, kept for vectors (vec_id, embedding, label): links join equal non-null labels at cosine >= threshold.
 
     Null, empty or zero vectors, null or non-finite components, and null labels: no links, own component. Equal vectors of a label are
     one node with a multiplicity, so copies cost one row. Vectors of different length never link. A null vec_id is linked but names
-    nothing. Repeated rows each return and link with each other. Empty table: no rows.
+    nothing. Repeated rows each return and link with each other. Ties at the threshold link. Empty table: no rows. Other columns of
+    vectors are not read, whatever their names. `options`: of Projections.
     """
-    p = p or Projections()
     v = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("x"), F.col("label"))
     fine = F.coalesce(F.col("label").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) < float("inf"))) & F.exists("x", lambda a: a != 0), F.lit(False))
     v = v.withColumn("x", F.when(fine, F.transform("x", lambda a: a + 0.0))).withColumn("label", F.col("label").cast("string"))
     nodes = durable(v.filter("x is not null").groupBy("label", "x").agg(F.count("*").alias("mult"), F.min("vec_id").alias("first")).withColumn("node", F.monotonically_increasing_id()))
+    p = Projections(nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0, threshold, **options)
 
-    def sketch(batches):
+    def by_length(batches):
         for b in batches:
-            size = np.array(b.column("n").to_pylist())
+            size = b.column("n").to_numpy()
             for n in np.unique(size):
-                t = b.filter(pa.array(size == n))
-                keys, q = p.project(_units(t.column("x")))
-                k = p.tables
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(t.column("node").to_numpy(), k)), t.column("label").take(pa.array(np.repeat(np.arange(len(q)), k))), pa.array(np.repeat(size[size == n], k), pa.int32()),
-                     pa.array(np.tile(np.arange(k), len(q)), pa.int32()), pa.array(keys.ravel()), pa.array([r.tobytes() for r in np.repeat(q, k, axis=0)], pa.binary())],
-                    ["node", "label", "n", "t", "cell", "q"],
-                )
+                yield int(n), b.filter(pa.array(size == n))
+
+    def sketch(batches):
+        for n, t in by_length(batches):
+            cells, own, counted = p.project(_units(t.column("x")))
+            k, rows = p.lists, np.repeat(np.arange(t.num_rows), p.lists)
+            yield pa.RecordBatch.from_arrays(
+                [t.column("node").take(pa.array(rows)), t.column("label").take(pa.array(rows)), pa.array([n] * len(rows), pa.int32()), pa.array(np.tile(np.arange(k, dtype=np.int32), t.num_rows)),
+                 pa.array(cells.ravel()), pa.array(own.ravel().astype(np.int32)), _bytes(counted).take(pa.array(rows))],
+                ["node", "label", "n", "t", "cell", "place", "q"],
+            )
 
-    listed = nodes.select("node", "label", "x", F.size("x").alias("n")).mapInArrow(sketch, "node long, label string, n int, t int, cell long, q binary")
-    listed = listed.select(F.xxhash64("label", "n", "t", "cell").alias("key"), "node", "q")
+    listed = nodes.select("node", "label", "x", F.size("x").alias("n")).mapInArrow(sketch, "node long, label string, n int, t int, cell long, place int, q binary")
+    listed = listed.select(F.xxhash64("label", "n", "t", "cell").alias("key"), "node", "place", "q")
 
-    def count(batches):
-        for t in runs(batches, "key"):
-            keys, node = t.column("key").to_numpy(), t.column("node").to_numpy()
-            s, e = bounds(keys)
-            passed = []
+    def meet(batches):
+        """Nodes that pass the count with another node."""
+        for t in runs(batches, "task"):
+            node, place, side = (t.column(c).to_numpy() for c in ("node", "place", "side"))
+            s, e = bounds(t.column("task").to_numpy())
+            found = []
             for i, j in zip(s[e - s > 1], e[e - s > 1]):
-                q = np.frombuffer(b"".join(t.column("q").slice(i, j - i).to_pylist()), np.int8).reshape(j - i, -1).astype(np.int16)
-                for a in range(0, j - i, block):
-                    ok = _collide(q, p, slice(a, a + block))
-                    passed.append(node[i + a : min(i + a + block, j)][ok.sum(1) > 1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(passed)) if passed else [], pa.int64())], ["node"])
+                q, names = _packed(t.column("q").slice(i, j - i), "<i2"), node[i:j]
+                for a, z, _ in _pairs(place[i:j], side[i:j], p):
+                    ok = _hits(q[a], q[z], p) & (names[a, None] != names[None, z])
+                    found += [names[a][ok.any(1)], names[z][ok.any(0)]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)) if found else np.empty(0, np.int64))], ["node"])
 
-    live = listed.repartition("key").sortWithinPartitions("key").mapInArrow(count, "node long").distinct()
+    live = durable(_on_task(_dealt(listed), "node", "place", "side", "q").mapInArrow(meet, "node long").distinct())
 
     def deal(batches):
-        for b in batches:
-            size = np.array(b.column("n").to_pylist())
-            for n in np.unique(size):
-                t = b.filter(pa.array(size == n))
-                keys, q = p.project(_units(t.column("x")))
-                for i in range(p.tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [t.column("node"), t.column("label"), t.column("n"), t.column("mult"), t.column("x"), pa.array([i] * len(q), pa.int32()), pa.array(keys[:, i]), pa.array([r.tobytes() for r in keys], pa.binary())],
-                        ["node", "label", "n", "mult", "x", "t", "cell", "cells"],
-                    )
+        for n, t in by_length(batches):
+            cells, own, counted = p.project(_units(t.column("x")))
+            met, every = _bytes(cells), _bytes(own)
+            for i in range(p.lists):
+                yield pa.RecordBatch.from_arrays(
+                    [t.column("node"), t.column("label"), t.column("n"), t.column("mult"), t.column("x"), pa.array([i] * t.num_rows, pa.int32()), pa.array(cells[:, i]), met, every, _bytes(counted)],
+                    ["node", "label", "n", "mult", "x", "t", "cell", "cells", "places", "q"],
+                )
 
     full = nodes.join(live, "node", "left_semi").select("node", "label", F.size("x").alias("n"), "mult", "x")
-    dealt = full.mapInArrow(deal, "node long, label string, n int, mult long, x array<double>, t int, cell long, cells binary")
-    dealt = dealt.select(F.xxhash64("label", "n", "t", "cell").alias("key"), "node", "mult", "x", "t", "cells")
+    kinds = "node long, label string, n int, mult long, x array<double>, t int, cell long, cells binary, places binary, q binary"
+    rows = full.mapInArrow(deal, kinds).select(F.xxhash64("label", "n", "t", "cell").alias("key"), "node", "mult", "x", "t", "cells", "places", "q")
 
     def verify(batches):
-        """Links of each vector counted once, in the first list whose cell the pair shares, and edges of a spanning forest."""
-        for t in runs(batches, "key"):
-            keys, node, mult, nr = (t.column(c).to_numpy() for c in ("key", "node", "mult", "t"))
-            s, e = bounds(keys)
-            out = []
+        """Links of each node, a pair counted in the first list in which it meets, and edges that span what is linked."""
+        for t in runs(batches, "task"):
+            node, mult, number, side = (t.column(c).to_numpy() for c in ("node", "mult", "t", "side"))
+            s, e = bounds(t.column("task").to_numpy())
+            us, vs, ns = [], [], []
             for i, j in zip(s[e - s > 1], e[e - s > 1]):
-                x = _units(t.column("x").slice(i, j - i))
-                q = p.project(x)[1].astype(np.int16)
-                cells = np.frombuffer(b"".join(t.column("cells").slice(i, j - i).to_pylist()), np.int64).reshape(j - i, -1)
-                ids, m = node[i:j], mult[i:j]
-                for a in range(0, j - i, block):
-                    at = slice(a, a + block)
-                    near = _collide(q, p, at) & (x[at] @ x.T >= p.threshold)
-                    near &= ids[at, None] != ids[None, :]
+                x, q = _units(t.column("x").slice(i, j - i)), _packed(t.column("q").slice(i, j - i), "<i2")
+                cells, places = _packed(t.column("cells").slice(i, j - i), "<i8"), _packed(t.column("places").slice(i, j - i), "<i2").astype(np.int32)
+                names, m, g = node[i:j], mult[i:j], int(number[i])
+                links = np.zeros(j - i, np.int64)
+                for a, z, both in _pairs(places[:, g], side[i:j], p):
+                    near = _hits(q[a], q[z], p) & (x[a] @ x[z].T >= p.threshold) & (names[a, None] != names[None, z])
+                    near &= np.abs(places[a, g, None] - places[None, z, g]) <= p.window
                     new = near.copy()
-                    for g in range(nr[i]):
-                        new &= cells[at, g, None] != cells[None, :, g]
-                    links = (new * m[None, :]).sum(1)
-                    rows, cols = _forest(near, a)
-                    for r in np.flatnonzero(links):
-                        out.append((int(ids[a + r]), int(ids[a + r]), int(links[r])))
-                    out.extend((int(ids[r]), int(ids[c]), 0) for r, c in zip(rows, cols))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)], ["u", "v", "links"])
-
-    found = durable(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "u long, v long, links long"))
+                    for h in range(g):
+                        new &= ~((cells[a, h, None] == cells[None, z, h]) & (np.abs(places[a, h, None] - places[None, z, h]) <= p.window))
+                    links[a] += new @ m[z]
+                    if not both:
+                        np.add.at(links, z, m[a] @ new)
+                    r, c = _forest(near)
+                    us.append(names[a[r]])
+                    vs.append(names[z[c]])
+                    ns.append(np.zeros(len(r), np.int64))
+                some = np.flatnonzero(links)
+                us.append(names[some])
+                vs.append(names[some])
+                ns.append(links[some])
+            columns = [np.concatenate(c).astype(np.int64) if c else np.empty(0, np.int64) for c in (us, vs, ns)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["u", "v", "links"])
+
+    met = _on_task(_dealt(rows), "node", "mult", "x", "t", "side", "cells", "places", "q")
+    found = durable(met.mapInArrow(verify, "u long, v long, links long"))
     comp = connected_components(found.filter("u <> v").select("u", "v"))
     links = found.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "node")
     named = nodes.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).join(links, "node", "left")
@@ -160,8 +230,12 @@ def near_duplicates(vectors: DataFrame, p: Projections | None = None, block: int
     return good.union(lone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _forest(near: np.ndarray, first: int) -> tuple[list[int], list[int]]:
-    """Edges that connect what a block's rows link: each column once, and rows that share a column."""
+def _on_task(df: DataFrame, *columns: str) -> DataFrame:
+    return df.repartition("task").sortWithinPartitions("task").select("task", *columns)
+
+
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, column) that connect all that `near` connects: each column once, and rows that share a column."""
     up = list(range(len(near)))
 
     def root(x):
@@ -171,16 +245,16 @@ def _forest(near: np.ndarray, first: int) -> tuple[list[int], list[int]]:
 
     rows, cols = [], []
     owner = np.full(near.shape[1], -1)
-    for r in range(len(near)):
+    for r in np.flatnonzero(near.any(1)):
         c = np.flatnonzero(near[r])
         o = owner[c]
         fresh = c[o < 0]
         owner[fresh] = r
-        rows.extend([first + r] * len(fresh))
-        cols.extend(fresh.tolist())
+        rows.extend([r] * len(fresh))
+        cols.extend(fresh)
         for w in np.unique(o[o >= 0]):
-            if (a := root(r)) != (z := root(int(w))):
+            if (a := root(int(r))) != (z := root(int(w))):
                 up[a] = z
-                rows.append(first + r)
-                cols.append(first + int(w))
-    return rows, cols
+                rows.append(r)
+                cols.append(c[o == w][0])
+    return np.array(rows, np.int64), np.array(cols, np.int64)
