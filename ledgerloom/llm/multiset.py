@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import durable
+
 PIECE = r"[^.!?\n]{1,200}[.!?\n]*|[.!?\n]+"
 FIELD = 0x3FFFFFFF
 ONES = 0x0000000100000001
 FIELDS = FIELD * ONES
+KEY = ("has", "kd", "h")  # of a row: is there a doc_id, the doc_id, the text's hash
 
 
 def pieces(text: Column) -> Column:
@@ -56,30 +59,40 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return d.withColumn(name, like).drop("_x", "_y", "_d", "_n")
 
 
-def edited_fingerprints(docs: DataFrame, block: int = 1024) -> DataFrame:
+def followers(entries: DataFrame) -> DataFrame:
+    """entries (has, kd, h, c, n_chars: one row per key, c copies) with what follows each in descending order: `copies`, and its key (nhas, nkd, nh).
+
+    Keys are dealt out by ranges; a range's last key is followed by the first one of the range below, and the last of all by the first of
+    all. Of c equal rows all but one are followed by their like. Only keys move.
+    """
+    r = durable(entries.repartitionByRange(*[F.desc(k) for k in KEY]).withColumn("part", F.spark_partition_id()))
+    down = Window.orderBy("part")  # over a row per range
+    first = r.groupBy("part").agg(F.max(F.struct(*KEY)).alias("first"))
+    below = first.select("part", F.coalesce(F.lead("first").over(down), F.first("first").over(down)).alias("below"))
+    inside = Window.partitionBy("part").orderBy(*[F.desc(k) for k in KEY])
+    n = r.join(F.broadcast(below), "part").withColumn("then", F.coalesce(F.lead(F.struct(*KEY)).over(inside), F.col("below")))
+    one = F.struct(F.lit(1).cast("long").alias("copies"), *[F.col(f"then.{k}").alias(f"n{k}") for k in KEY])
+    same = F.struct((F.col("c") - 1).alias("copies"), *[F.col(k).alias(f"n{k}") for k in KEY])
+    return n.select(*KEY, "n_chars", F.explode(F.filter(F.array(one, same), lambda x: x["copies"] > 0)).alias("x")).select(*KEY, "n_chars", "x.*")
+
+
+def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document is the one below in doc_id; rows meet it in blocks of about `block` ids of equal width, so no task sorts the
-    table, and a block's last row meets the first of the block below through a table of one row per block.
-    Null text: empty. Repeated doc_ids stand in the order of their texts, descending; null doc_ids come last. A single row is its own
-    next. Empty table: no rows.
+    The next document is the one below in doc_id. What follows what is settled on keys alone (doc_id and the text's hash); then texts and
+    fingerprints meet by key, so no task sorts or holds a range of texts, and of the next text only the part that is needed moves on.
+    Null text: empty. Repeated doc_ids stand in the descending order of their texts' hashes, equal rows next to each other; null doc_ids
+    come last. A single row is its own next. Very long texts: whole. Other columns of docs are not read. Empty table: no rows.
     """
-    d = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    lo, hi, n = d.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    lo, hi = lo if lo is not None else 0, hi if hi is not None else 0
-    width = max(1, -(-(hi - lo + 1) * block // max(n, 1)))
-    d = d.withColumn("bin", F.coalesce(F.expr(f"(doc_id - {lo}L) div {width}L"), F.lit(-1).cast("long")))
-    top = d.groupBy("bin").agg(F.max("doc_id").alias("top"))
-    first = d.join(top, (d.bin == top.bin) & d.doc_id.eqNullSafe(top.top), "left_semi").groupBy("bin").agg(F.max("text").alias("text"))
-    down = Window.orderBy(F.desc("bin"))
-    whole = Window.partitionBy(F.lit(1)).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = first.select(F.col("bin").alias("of"), F.coalesce(F.lead("text").over(down), F.first("text").over(whole)).alias("below"))
-    by = Window.partitionBy("bin").orderBy(F.desc_nulls_last("doc_id"), F.desc("text"))
-    d = d.withColumn("inside", F.lead("text").over(by)).join(below, F.col("bin") == F.col("of")).withColumn("next", F.coalesce("inside", "below"))
-    d = d.select("doc_id", "text", "next", F.length("text").cast("long").alias("n_chars"))
+    d = docs.select(F.col("doc_id").isNotNull().alias("has"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("kd"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    nxt = followers(d.groupBy(*KEY).agg(F.count("*").alias("c"), F.first(F.length("text")).alias("n_chars")))
+    texts = with_vector(d, "text", "v").groupBy(*KEY).agg(F.first("text").alias("text"), F.first("v").alias("v"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    d = d.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), F.col("n_chars").cast("int") - half), F.col("next").substr(F.lit(1), half)))
-    for text, name in (("text", "_a"), ("edited", "_b"), ("next", "_c")):
-        d = with_vector(d, text, name)
-    d = with_likeness(with_likeness(d, "_a", "_b", "near_edited"), "_a", "_c", "near_next")
-    return d.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), text_form(F.col("_a")).alias("fingerprint"), text_form(F.col("_b")).alias("edited_fingerprint"), "near_edited", "near_next")
+    other = texts.select(*[F.col(k).alias(f"n{k}") for k in KEY], F.col("text").alias("next"), F.col("v").alias("_c"))
+    tails = nxt.join(other, [f"n{k}" for k in KEY]).select(*KEY, "copies", "n_chars", F.col("next").substr(F.lit(1), half).alias("tail"), "_c")
+    e = texts.withColumnRenamed("v", "_a").join(tails, list(KEY))
+    e = e.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), F.col("n_chars") - half), "tail"))
+    e = with_likeness(with_likeness(with_vector(e, "edited", "_b"), "_a", "_b", "near_edited"), "_a", "_c", "near_next")
+    doc_id, n_chars = F.when(F.col("has"), F.col("kd")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars")
+    e = e.select(doc_id, n_chars, F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), text_form(F.col("_a")).alias("fingerprint"), text_form(F.col("_b")).alias("edited_fingerprint"), "near_edited", "near_next", "copies")
+    return e.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("_n", "copies")

@@ -197,7 +197,7 @@ def test_records_round_trip(spark, docs, pdf, odd, none):
 
 
 def test_multiset(spark, docs, pdf, odd, none):
-    got = multiset.edited_fingerprints(docs, block=16).toPandas().set_index("doc_id")
+    got = multiset.edited_fingerprints(docs).toPandas().set_index("doc_id")
     order = sorted(pdf.doc_id, reverse=True)
     text = dict(zip(pdf.doc_id, pdf.text))
     for i, d in enumerate(order):
