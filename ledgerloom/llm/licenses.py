@@ -46,7 +46,7 @@ def _engine(notices: tuple):
         cut = [round(j * len(text) / (k + 1)) for j in range(k + 2)]
         for a, z in zip(cut, cut[1:]):
             seeds.setdefault(text[a:z], []).append((i, a))
-        patterns.append((regex.compile(rf"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={k}}}"), text, label, k))
+        patterns.append((regex.compile(rf"(?b)(?<= )(?:{regex.escape(text, literal_spaces=True)}){{e<={k}}}(?= )"), text, label, k))
     auto = ahocorasick.Automaton()
     for s, places in seeds.items():
         auto.add_word(s, (len(s), places))
@@ -55,7 +55,11 @@ def _engine(notices: tuple):
 
 
 def scan(text: str | None, notices: dict[str, str] = NOTICES) -> dict:
-    """Words, base places, and verified spans (label, first word, words, edits) of one whole text."""
+    """Words, base places, and verified spans (label, first word, start and end in the words joined by spaces, edits) of one whole text.
+
+    A span begins and ends with a word. Of places of one notice that overlap, the one of fewest edits counts, the first of equals; spans of
+    different notices may overlap.
+    """
     words = WORD.findall((text or "").encode().lower().decode())
     flat = " " + " ".join(words) + " "
     places = []
@@ -65,28 +69,30 @@ def scan(text: str | None, notices: dict[str, str] = NOTICES) -> dict:
             places.append((at, label))
             at = flat.find(f" {phrase} ", at + 1)
     auto, patterns = _engine(tuple(notices.items()))
-    windows: dict[int, list[list[int]]] = {}
+    seen: dict[int, list[tuple[int, int]]] = {}
     for end, (n, where) in auto.iter(flat):
         for i, a in where:
             _, notice, _, k = patterns[i]
-            lo, hi = max(0, end - n + 1 - a - k), end - n + 1 - a + len(notice) + k
-            old = windows.setdefault(i, [])
-            if old and lo <= old[-1][1]:
-                old[-1][1] = max(hi, old[-1][1])
-            else:
-                old.append([lo, hi])
+            start = end - n + 1 - a  # of the notice, if nothing in front of the seed was edited
+            seen.setdefault(i, []).append((max(0, start - k - 1), min(len(flat), start + len(notice) + k + 1)))
     spans = []
-    for i, found in windows.items():
+    for i, found in seen.items():
         p, notice, label, k = patterns[i]
-        for lo, hi in found:
-            left = [(lo, min(hi, len(flat)))]
+        windows: list[list[int]] = []
+        for lo, hi in sorted(found):
+            if windows and lo <= windows[-1][1]:
+                windows[-1][1] = max(hi, windows[-1][1])
+            else:
+                windows.append([lo, hi])
+        for lo, hi in windows:
+            left = [(lo, hi)]
             while left:  # the best place of a stretch first, then what lies before and behind it
                 lo, hi = left.pop()
                 if (m := p.search(flat, lo, hi)) is None:
                     continue
                 left += [(lo, m.start()), (m.end(), hi)]
                 spans.append((label, m.start(), m.end(), sum(m.fuzzy_counts), 1 - sum(m.fuzzy_counts) / len(notice)))
-    marks = sorted({x for a, _ in places for x in [a]} | {max(0, s[1]) for s in spans} | {s[2] for s in spans})
+    marks = sorted({a for a, _ in places} | {s[1] for s in spans})
     number, before, at = {}, 0, 0
     for x in marks:  # word number at each place, in one walk
         before += flat.count(" ", at, x)
@@ -96,7 +102,7 @@ def scan(text: str | None, notices: dict[str, str] = NOTICES) -> dict:
         "n_words": len(words), "n_base": len(places), "first_word": starts[0] if starts else None, "last_word": starts[-1] if starts else None,
         "base": sorted({b for _, b in places}), "labels": sorted({b for _, b in places} | {s[0] for s in spans}),
         "score": 1.0 if places else max((s[4] for s in spans), default=0.0),
-        "spans": sorted((s[0], max(0, number[s[1]] - (flat[s[1]] != " ")), s[1], s[2], s[3]) for s in spans),
+        "spans": sorted((s[0], number[s[1]] - 1, s[1], s[2], s[3]) for s in spans),
     }
 
 
@@ -104,6 +110,7 @@ def license_scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFram
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label, word, start, end in the joined words, edits).
 
     Null or empty text: no words, no labels, score 0. Repeated rows each return. Empty table: no rows. Texts are scanned whole.
+    Other columns of docs are not read, whatever their names.
     """
 
     def run(frames):

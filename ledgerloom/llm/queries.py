@@ -24,7 +24,7 @@ def op2_simhash(spark, sf_dir):
 
 
 def op3_licenses(spark, sf_dir):
-    return licenses.license_scan(_docs(spark, sf_dir)).drop("spans")
+    return licenses.license_scan(_docs(spark, sf_dir))
 
 
 def op4_embeddings(spark, sf_dir):
