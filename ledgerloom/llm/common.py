@@ -80,13 +80,14 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, made_by=None) -> DataFrame:
     """(node, root) for every node of edges (u, v longs); root is the smallest node of its component.
 
-    Alternates large-star and small-star steps until the edges stand still; each step is cut by a checkpoint.
+    `made_by`: what makes batches of edges out of those of `edges`, run in the same worker as the first contraction, as two Python
+    operators in one stage would hold two workers a task. Alternates large-star and small-star steps until the edges stand still; each step is cut by a checkpoint.
     No edges: no rows.
     """
-    e = durable(edges.mapInArrow(_contract, "u long, v long").distinct())
+    e = durable(edges.mapInArrow(lambda batches: _contract(made_by(batches) if made_by else batches), "u long, v long").distinct())
     seen = None
     while True:
         sig = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())

@@ -97,13 +97,12 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have fingerprint zero and link like any other. Equal fingerprints are one node, so a group of copies costs
     one row. Rows with null doc_id are linked but never name a component; a component of these alone has a null component_id.
-    Repeated rows each return. Empty table: no rows.
+    Repeated rows each return. Empty table: no rows. Other columns of docs are not read, whatever their names.
     """
     fp = durable(fingerprints(docs))
     nodes = fp.groupBy("fp").agg(F.min("doc_id").alias("first"))
     keys = nodes.select("fp").mapInArrow(_emit, "key long, fp long")
-    edges = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_collide, "u long, v long")
-    comp = connected_components(edges)
+    comp = connected_components(keys.repartition("key").sortWithinPartitions("key"), _collide)
     named = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.join(least, "root").select("fp", "component_id")

@@ -28,17 +28,31 @@ def _by_words(path: str) -> bool:
     return bool(plain and model.get("type") == "BPE" and not model.get("dropout") and not d.get("normalizer") and not d.get("truncation") and not d.get("padding"))
 
 
+class Words(dict):
+    """Ids by word. A word that is not there gets an empty array, which is filled before it is read; `older` may still hold it."""
+
+    def __init__(self, older: dict):
+        super().__init__()
+        self.older, self.new = older, []
+
+    def __missing__(self, word):
+        got = self.older.get(word)
+        if got is None:
+            got = bytearray()
+            self.new.append(word)
+        self[word] = got
+        return got
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes. At most `most` words are kept, in two halves: when the newer half is full, it
     replaces the older one, so words that keep coming stay."""
 
-    def __init__(self, path: str, most: int = 750_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.tokenizer, self.most, self.words = Tokenizer.from_file(path), most, Words({})
         self.by_words = _by_words(path)
         added = [re.escape(a.content) for a in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)) if added else None
@@ -55,19 +69,19 @@ class Encoder:
         texts = [t if isinstance(t, str) else "" for t in texts]
         for i in range(0, len(texts), at_once):
             part = texts[i : i + at_once]
-            words = {t: None if self.whole(t) else SPLIT.findall(t) for t in dict.fromkeys(part)}
-            direct = [t for t, w in words.items() if w is None]
-            ids = dict(zip(direct, self.library(direct)))
             if len(self.words) > self.most // 2:
-                self.words, self.older = {}, self.words
-            known = self.words
-            if new := set().union(*filter(None, words.values())).difference(known):
-                known.update((w, self.older[w]) for w in new if w in self.older)
-                new = list(new.difference(known))
-                known.update(zip(new, self.library(new)))
-            for t, w in words.items():
-                if w is not None:
-                    ids[t] = b"".join(map(known.__getitem__, w))
+                self.words.older = {}
+                self.words = Words(self.words)
+            known, ids = self.words, {}
+            direct = [t for t in dict.fromkeys(part) if self.whole(t)]
+            ids.update(zip(direct, self.library(direct)))
+            split = {t: list(map(known.__getitem__, SPLIT.findall(t))) for t in dict.fromkeys(part) if t not in ids}
+            new, known.new = known.new, []
+            for w, b in zip(new, self.library(new)):
+                known[w][:] = b
+            for t, pieces in split.items():
+                ids[t] = b"".join(pieces)
+            known.update(zip(new, [bytes(known[w]) for w in new]))
             yield from map(ids.__getitem__, part)
 
 
