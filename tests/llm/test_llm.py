@@ -145,17 +145,6 @@ def test_embeddings(spark):
     assert set(got[got.vec_id.isin([1000, 1001, 1002, 1003, 1004])].n_links) == {0} and collisions.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_trie_is_a_distribution_and_escapes():
-    ctx, sym = ppm.symbols(b"abracadabra")
-    codes, n = np.unique((ctx << 8) | sym, return_counts=True)
-    t = ppm.Trie(codes, n)
-    assert np.allclose((10.0 ** t.table.reshape(-1, 256)).sum(1), 1, atol=1e-4)
-    at = lambda c, s: 10 ** t.table[(t.index[(c[0] << 8) | c[1]] << 8) | s]
-    assert math.isclose(at(b"ab", ord("r")), 2 / 3, rel_tol=1e-5)  # twice seen, one kind
-    # after ab and b only r was seen: escape 1/3, r is excluded below, b has nothing else, then a: 5 of 5+1+1+2+1(end) and 5 kinds
-    assert math.isclose(at(b"ab", ord("a")), 1 / 3 * 1 * 5 / (10 - 0 + 5), rel_tol=1e-4)
-
-
 def test_lm_score(docs, pdf, odd, none):
     want = collections.Counter()
     toks = {d: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None] for d, t in zip(pdf.doc_id, pdf.text)}
@@ -234,19 +223,6 @@ def test_sharding(spark, docs, odd, none):
     assert len(got) == len(ODD) and got[got.doc_id == 3].shard.nunique() == 1 and sharding.place(none, ["a"]).count() == 0
 
 
-def test_pipeline_stages(spark, docs, pdf, tmp_path):
-    import corpus_pipeline as c
-
-    got = c.run(spark, SF).toPandas()
-    lang = c.language(spark, docs, SF).toPandas()
-    near = c.near_dedup(spark, spark.createDataFrame(lang), SF).toPandas()
-    comp = simhash.simhash_components(spark.createDataFrame(lang)).toPandas()
-    assert set(near.doc_id) == set(comp.component_id) and list(near.columns) == c.COLUMNS
-    mixed = c.mix(spark, spark.createDataFrame(near), SF).toPandas()
-    assert got[got.start == 0].groupby("doc_id").size().to_dict() == mixed.groupby("doc_id").size().to_dict()
-    assert any(map(str.isalpha, "".join(lang.text))) and len(lang) >= 0.95 * len(pdf)
-
-
 def test_runs_stay_whole_over_batches():
     import pyarrow as pa
 
