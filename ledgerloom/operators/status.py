@@ -2,70 +2,79 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
 
 
-def match(master: DataFrame, deltas: DataFrame) -> DataFrame:
-    """(delta_ord, master_key, tier): deltas (ord, entity_name) meet master rows by the first tier that hits.
+def match_names(master: DataFrame, names: DataFrame) -> DataFrame:
+    """(entity_name, master_key, tier): distinct names meet master rows (master_key, name) by the first tier that hits.
 
-    Tiers: 1 legacy key, 2 canonical key, 3 an alias of the delta, 4 an alias of the master row, 5 one edit with a single candidate key.
+    Tiers: 1 legacy key, 2 canonical key, 3 an alias of the name, 4 an alias of the master row, 5 one edit with a single candidate key.
+    Master keys of all kinds are one index, a name's keys of all tiers its probes, so tiers 1 to 4 are one join. Only names that no
+    tier hit, and whose first letters and digits some master key has, go on to the fifth.
     """
-    m = master.select("master_key", "name").withColumn("n", N.split_annotations(F.col("name"))).select("master_key", N.canonical_key(F.col("n.primary")).alias("k"), "n.aliases")
-    d = deltas.filter("entity_name is not null").select(F.col("ord").alias("delta_ord"), "entity_name").withColumn("n", N.split_annotations(F.col("entity_name")))
-    d = d.select("delta_ord", N.normalize_name(F.col("entity_name")).alias("legacy"), N.canonical_key(F.col("n.primary")).alias("dk"), "n.aliases")
-    t1 = d.join(m, d.legacy == m.master_key).select("delta_ord", "master_key", F.lit(1).alias("tier"), F.lit(0).alias("pos"))
-    t2 = d.join(m, d.dk == m.k).select("delta_ord", "master_key", F.lit(2), F.lit(0))
-    da = d.select("delta_ord", F.posexplode("aliases").alias("pos", "a")).select("delta_ord", "pos", N.canonical_key(F.col("a")).alias("ak"))
-    t3 = da.join(m, F.col("ak") == m.k).select("delta_ord", "master_key", F.lit(3), "pos")
-    ma = m.select("master_key", F.explode("aliases").alias("a")).select("master_key", N.canonical_key(F.col("a")).alias("ak"))
-    t4 = d.join(ma, d.dk == ma.ak).select("delta_ord", "master_key", F.lit(4), F.lit(0)).distinct()
-    # within one edit: the keys share a form with at most one letter cut out; guards ride along, so no block of like names is compared in full
-    cuts = lambda k: F.explode(F.array_distinct(F.concat(F.array(k), F.transform(F.sequence(F.lit(1), F.length(k)), lambda i: F.concat(k.substr(F.lit(1), i - 1), k.substr(i + 1, F.length(k)))))))
-    near = lambda x, k: x.withColumn("p5", F.substring(k, 1, 5)).withColumn("dg", N.digits_of(F.col(k))).withColumn("form", cuts(F.col(k)))
-    dn = near(d.filter(F.length("dk") >= 16).select("delta_ord", "dk"), "dk")
-    c = dn.join(near(m.select("k").filter(F.length("k") >= 15).distinct(), "k"), ["form", "p5", "dg"]).filter((F.col("dk") != F.col("k")) & N.within_one_edit(F.col("dk"), F.col("k")))
-    one = c.groupBy("delta_ord").agg(F.count_distinct("k").alias("n"), F.min("k").alias("k")).filter("n = 1")
-    t5 = one.join(m, "k").select("delta_ord", "master_key", F.lit(5), F.lit(0))
-    best = Window.partitionBy("delta_ord")
-    u = reduce(DataFrame.union, [t1, t2, t3, t4, t5])
-    return u.withColumn("b", F.min(F.struct("tier", "pos")).over(best)).filter("tier = b.tier and pos = b.pos").select("delta_ord", "master_key", "tier").distinct()
+    p = master.select("master_key", N.split_annotations(F.col("name")).alias("n")).select("master_key", N.canonical_key(F.col("n.primary")).alias("k"), "n.aliases")
+    entry = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    index = p.select("master_key", F.inline(F.concat(F.array(entry("legacy", F.col("master_key")), entry("canonical", F.col("k"))), F.transform("aliases", lambda a: entry("alias", N.canonical_key(a)))))).filter("key <> ''").distinct()
+    probe = lambda kind, tier, pos, key: F.struct(F.lit(kind).alias("kind"), F.lit(tier).alias("tier"), pos.alias("pos"), key.alias("key"))
+    d = names.select("entity_name").filter("entity_name is not null").distinct()
+    d = d.select("entity_name", N.normalize_name(F.col("entity_name")).alias("legacy"), N.split_annotations(F.col("entity_name")).alias("n")).select("entity_name", "legacy", N.canonical_key(F.col("n.primary")).alias("dk"), "n.aliases")
+    fixed = F.array(probe("legacy", 1, F.lit(0), F.col("legacy")), probe("canonical", 2, F.lit(0), F.col("dk")), probe("alias", 4, F.lit(0), F.col("dk")))
+    d = d.select("entity_name", F.inline(F.concat(fixed, F.transform("aliases", lambda a, i: probe("canonical", 3, i, N.canonical_key(a))))))
+    met = d.join(index, ["kind", "key"], "left")
+    place = F.struct("tier", "pos")
+    met = met.withColumn("best", F.min(F.when(F.col("master_key").isNotNull(), place)).over(Window.partitionBy("entity_name")))
+    hit = met.filter(F.col("master_key").isNotNull() & (place == F.col("best"))).select("entity_name", "master_key", "tier").distinct()
+    rest = met.filter("best is null and tier = 2 and length(key) >= 16").select("entity_name", F.col("key").alias("dk"))
+    # within one edit: the keys share a form with at most one letter cut out; guards are hashed in, so no block of like names is compared in full
+    guarded = lambda x, k: x.withColumn("p5", F.substring(k, 1, 5)).withColumn("dg", N.digits_of(F.col(k)))
+    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length(k)), lambda i: F.xxhash64(F.concat(k.substr(F.lit(1), i - 1), k.substr(i + 1, F.length(k))), F.col("p5"), F.col("dg")))
+    forms = lambda x, k: x.select(k, F.explode(F.array_distinct(F.concat(F.array(F.xxhash64(k, "p5", "dg")), cut(F.col(k))))).alias("form"))
+    known = guarded(p.select("k").filter(F.length("k") >= 15).distinct(), "k")
+    slips = guarded(rest.select("dk").distinct(), "dk").join(known.select("p5", "dg").distinct(), ["p5", "dg"], "left_semi")
+    c = forms(slips, "dk").join(forms(known, "k"), "form").filter((F.col("dk") != F.col("k")) & N.within_one_edit(F.col("dk"), F.col("k")) & (F.substring("dk", 1, 5) == F.substring("k", 1, 5)) & (N.digits_of(F.col("dk")) == N.digits_of(F.col("k"))))
+    one = c.groupBy("dk").agg(F.count_distinct("k").alias("n"), F.min("k").alias("k")).filter("n = 1")
+    near = rest.join(one.select("dk", "k"), "dk").join(p.select("k", "master_key"), "k").select("entity_name", "master_key", F.lit(5).alias("tier"))
+    return hit.union(near)
+
+
+def match(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """(delta_ord, master_key, tier) for deltas (ord, entity_name), by match_names."""
+    return deltas.select(F.col("ord").alias("delta_ord"), "entity_name").join(match_names(master, deltas), "entity_name").select("delta_ord", "master_key", "tier")
+
+
+def _collapsed(master: DataFrame) -> DataFrame:
+    return master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"), F.max_by("status", "ord").alias("master_status"))
 
 
 def reconcile(master: DataFrame, deltas: DataFrame) -> DataFrame:
     """Final status of each master row (ord, name, status), collapsed by legacy key with the last value, after deltas
     (ord, entity_name, action, effective_date): the latest date wins, the later row on a tie; Restored means Active."""
-    m = master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"), F.max_by("status", "ord").alias("master_status"))
-    hit = match(m, deltas).join(deltas.withColumnRenamed("ord", "delta_ord"), "delta_ord")
-    last = hit.groupBy("master_key").agg(F.max_by(F.struct("action", "effective_date", "tier"), F.struct("effective_date", "delta_ord")).alias("l"), F.count("*").alias("n_changes"))
+    m = _collapsed(master)
+    hit = deltas.withColumnRenamed("ord", "delta_ord").join(match_names(m, deltas), "entity_name")
+    last = hit.groupBy("master_key").agg(F.max(F.struct("effective_date", "delta_ord", "action")).alias("l"), F.count("*").alias("n_changes"))
     action = F.when(F.col("l.action") == "Restored", "Active").otherwise(F.col("l.action"))
     return m.join(last, "master_key", "left").select("master_key", "name", "master_status", F.coalesce(action, "master_status").alias("final_status"), F.col("l.effective_date").alias("effective_date"), F.coalesce("n_changes", F.lit(0)).cast("long").alias("n_changes"))
 
 
 def unmatched(master: DataFrame, deltas: DataFrame) -> DataFrame:
-    m = master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"))
-    return deltas.filter("entity_name is not null").join(match(m, deltas).select(F.col("delta_ord").alias("ord")).distinct(), "ord", "left_anti")
+    """Deltas with a name that no tier hit."""
+    return deltas.filter("entity_name is not null").join(match_names(_collapsed(master), deltas).select("entity_name").distinct(), "entity_name", "left_anti").select(*deltas.columns)
 
 
 MATCH_TYPES = {1: "Exact", 2: "Normalised", 3: "Alias", 4: "Alias", 5: "Approximate"}
 
 
-def _collapsed(master: DataFrame) -> DataFrame:
-    return master.withColumn("master_key", N.normalize_name(F.col("name"))).groupBy("master_key").agg(F.max_by("name", "ord").alias("name"), F.max_by("status", "ord").alias("master_status"))
-
-
 def applied(master: DataFrame, deltas: DataFrame) -> DataFrame:
     """One row per change and master row it meets: the history. Restored reads Active. Order: effective_date, ord."""
     m = _collapsed(master)
     kind = F.create_map(*[F.lit(x) for kv in MATCH_TYPES.items() for x in kv])
-    d = deltas.select(F.col("ord").alias("delta_ord"), "entity_name", "action", "effective_date", "pr_title", "pr_link", "note")
-    hit = match(m, deltas).join(d, "delta_ord").join(m, "master_key")
+    d = deltas.select("ord", "entity_name", "action", "effective_date", "pr_title", "pr_link", "note")
+    hit = d.join(match_names(m, deltas), "entity_name").join(m, "master_key")
     status = F.when(F.col("action") == "Restored", "Active").otherwise(F.col("action"))
-    return hit.select("master_key", "name", "master_status", F.col("delta_ord").alias("ord"), status.alias("status"), "effective_date", "pr_title", "pr_link", "note", F.col("entity_name").alias("pr_name"), kind[F.col("tier")].alias("match_type"))
+    return hit.select("master_key", "name", "master_status", "ord", status.alias("status"), "effective_date", "pr_title", "pr_link", "note", F.col("entity_name").alias("pr_name"), kind[F.col("tier")].alias("match_type"))
 
 
 def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
@@ -82,9 +91,8 @@ def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
 
 def release_summary(master: DataFrame, deltas: DataFrame) -> DataFrame:
     """Per release (its link, else its title): names expected and extracted, by how they matched. Releases without names are left out."""
-    m = _collapsed(master)
-    tier = match(m, deltas).groupBy("delta_ord").agg(F.first("tier").alias("tier"))
-    d = deltas.filter("coalesce(entity_name, '') <> ''").withColumn("release", F.coalesce(F.nullif("pr_link", F.lit("")), "pr_title")).join(tier, F.col("ord") == F.col("delta_ord"), "left")
+    tier = match_names(_collapsed(master), deltas).groupBy("entity_name").agg(F.min("tier").alias("tier"))
+    d = deltas.filter("coalesce(entity_name, '') <> ''").withColumn("release", F.coalesce(F.nullif("pr_link", F.lit("")), "pr_title")).join(tier, "entity_name", "left")
     n = lambda *tiers: F.count_if(F.col("tier").isin(*tiers))
     order = F.struct("effective_date", "ord")
     g = d.groupBy("release").agg(
