@@ -43,6 +43,11 @@ def html_text(html) -> Column:
     return _per_document("string", lambda h: markup.Page(h).text, html)
 
 
+def html_lines(html) -> Column:
+    """Text with a line per block and a tab per cell."""
+    return _per_document("string", lambda h: markup.Page(h).rendered, html)
+
+
 def hub_counts(html) -> Column:
     row = _fields("intm_id", "label", "expected_count")
     return _per_document("array<struct<intm_id:string,label:string,expected_count:int>>", lambda h: row(markup.hub_counts(h)), html)
@@ -56,15 +61,22 @@ def release_table_names(html) -> Column:
     return _per_document(LISTS, markup.release_table_names, html)
 
 
-def table_names(html, header_pattern: str | None = None) -> Column:
-    """Names of a page's tables: Devanagari stripped, 180 characters at most."""
+def table_names(html, header_pattern: str | None = None, split: bool = False, keyword: str | None = None) -> Column:
+    """Names of a page's tables: Devanagari stripped, 180 characters at most, each once.
+
+    `header_pattern`: only tables whose first rows match, where any does. `split`: two companies in one cell become two. `keyword`: only
+    names that match.
+    """
     raw = _per_document(LISTS, lambda h: markup.page_table_names(h, header_pattern), html)
-    return F.filter(F.transform(raw, clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE))
+    names = F.array_distinct(F.filter(F.transform(raw, clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE)))
+    names = split_companies(names) if split else names
+    return F.filter(names, lambda n: n.rlike(f"(?i){keyword}")) if keyword else names
 
 
 def split_companies(names) -> Column:
     """Two companies in one cell become two, at the legal form of the first."""
-    return F.array_distinct(F.flatten(F.transform(names, lambda n: F.split(n, r"(?<=\b(?:Limited|Ltd\.|Ltd))\s+(?=[A-Z][A-Za-z])"))))
+    parts = F.flatten(F.transform(names, lambda n: F.split(n, r"(?<=\b(?:Limited|Ltd\.|Ltd))\s+(?=[A-Z][A-Za-z])")))
+    return F.array_distinct(F.filter(F.transform(parts, lambda n: F.trim(n)), lambda n: n != ""))
 
 
 def numbered_entries(text, restart: bool = False, reject: str | None = None) -> Column:
@@ -81,12 +93,18 @@ def workbook_rows(content) -> Column:
 
 
 def workbook_names(content) -> Column:
-    """struct(names: array of (name, classification), title)."""
+    """struct(names: array of (name, classification), title, error). What is no readable workbook gives no names and an error."""
 
-    @pandas_udf("struct<names:array<struct<name:string,classification:string>>,title:string>")
+    @pandas_udf("struct<names:array<struct<name:string,classification:string>>,title:string,error:string>")
     def run(contents: pd.Series) -> pd.DataFrame:
-        got, row = [markup.workbook_names(c) for c in contents], _fields("name", "classification")
-        return pd.DataFrame({"names": [row(g[0]) for g in got], "title": [g[1] for g in got]})
+        row, out = _fields("name", "classification"), []
+        for c in contents:
+            try:
+                names, title = markup.workbook_names(c)
+                out.append((row(names), title, None))
+            except Exception as e:  # a damaged upload must not stop the other sources
+                out.append(([], None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=["names", "title", "error"])
 
     return run(content)
 

@@ -2,50 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from .components import connected_components, durable
 
 
-def _durable(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
-    return df.checkpoint()
-
+def slips(keys: DataFrame) -> DataFrame:
+    """Edges (a, b) between keys (k) of 20 letters or more, of equal length, digits and first five letters, that differ in one place.
 
-def smallest_reachable(edges: DataFrame) -> DataFrame:
-    """(node, root) for edges (a, b): labels sink to the least neighbour and jump along labels until nothing moves."""
-    both = _durable(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct())
-    label = _durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
-    while True:
-        near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("r1")).withColumnRenamed("a", "node")
-        hop = label.select(F.col("node").alias("root"), F.col("root").alias("r2"))
-        new = _durable(label.join(near, "node").join(hop, "root", "left").select("node", "root", F.least("root", "r1", "r2").alias("new")))
-        if not new.filter("new <> root").limit(1).count():
-            return label
-        label = new.select("node", F.col("new").alias("root"))
+    Rows meet on a hash of the key with that place cut out, and each links to the least of its bucket, so no bucket is expanded to pairs;
+    a link is checked on the keys.
+    """
+    k = keys.filter(F.length("k") >= 20).select("k", N.digits_of(F.col("k")).alias("digits")).distinct()
+    rest = F.transform(F.sequence(F.lit(1), F.length("k")), lambda i: F.xxhash64(i, F.col("k").substr(F.lit(1), i - 1), F.col("k").substr(i + 1, F.length("k")), F.col("digits")))
+    cut = k.select("k", "digits", F.explode(rest).alias("form"))
+    least = cut.groupBy("form").agg(F.min("k").alias("b"), F.max("k").alias("top")).filter("b <> top").drop("top")
+    alike = (F.length("a") == F.length("b")) & (F.substring("a", 1, 5) == F.substring("b", 1, 5)) & (F.col("digits") == N.digits_of(F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
+    return cut.join(least, "form").withColumnRenamed("k", "a").filter("a <> b").filter(alike).select("a", "b")
 
 
 def entity_keys(names: DataFrame) -> DataFrame:
-    """(name, entity_key) per distinct name; the key is the least canonical key of the entity.
-
-    Slips: keys of 20 letters or more, of equal length, digits and first five letters, that differ in one place. Rows meet on the key
-    with that place cut out, and each links to the least of its bucket, so no bucket is expanded to pairs.
-    """
+    """(name, entity_key) per distinct name; the key is the least canonical key of the entity: of names, aliases and one-letter slips."""
     d = names.select("name").filter("name is not null").distinct().withColumn("n", N.entity_names(F.col("name")))
     pk = N.canonical_key(N.repair_legal_form(F.col("n.primary")))
     d = d.withColumn("pk", F.when(pk != "", pk).otherwise(F.regexp_replace(F.upper("name"), "[^A-Z0-9]", "")))
-    d = _durable(d.withColumn("aks", F.filter(F.transform("n.aliases", lambda a: N.canonical_key(N.repair_legal_form(a))), lambda k: k != "")).drop("n"))
+    d = durable(d.withColumn("aks", F.filter(F.transform("n.aliases", lambda a: N.canonical_key(N.repair_legal_form(a))), lambda k: k != "")).drop("n"))
     alias = d.select(F.col("pk").alias("a"), F.explode("aks").alias("b"))
-    keys = d.select(F.col("pk").alias("k")).union(alias.select("b")).distinct().filter(F.length("k") >= 20)
-    cut = keys.select("k", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("k")), lambda i: F.concat(F.col("k").substr(F.lit(1), i - 1), F.col("k").substr(i + 1, F.length("k"))))).alias("i", "rest"))
-    bucket = ["i", "rest", "digits", "head"]
-    cut = cut.select("k", "i", "rest", N.digits_of(F.col("k")).alias("digits"), F.substring("k", 1, 5).alias("head"))
-    least = cut.groupBy(*bucket).agg(F.min("k").alias("b"), F.max("k").alias("top")).filter("b <> top").drop("top")
-    slips = cut.join(least, bucket).select(F.col("k").alias("a"), "b")
-    roots = smallest_reachable(alias.union(slips))
+    edges = alias.filter("a <> b").union(slips(d.select(F.col("pk").alias("k")).union(alias.select("b"))))
+    roots = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return d.join(roots, d.pk == roots.node, "left").select("name", F.coalesce("root", "pk").alias("entity_key"))

@@ -11,6 +11,7 @@ import zipfile
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
+LINES, CELLS = {"br", "p", "div", "tr", "li", "table", "h1", "h2", "h3", "h4", "h5", "h6"}, {"td", "th"}
 BLOCKS = {"br", "p", "div", "tr", "td", "th", "li", "table", "h1", "h2", "h3", "h4", "h5", "h6"}
 WIDE = 180  # longest plausible name
 # Header words, by priority, and labels of serial columns.
@@ -38,6 +39,7 @@ class Page(HTMLParser):
         self.links: list[tuple[str, str, str]] = []
         self.row_ids: dict[int, str] = {}  # by identity of a row: first intmId among its links
         self._text: list[str] = []
+        self._shape: list[str] = []  # the same with breaks where a browser shows them
         self._open: list[dict] = []  # tables being read, outermost first
         self._link: list | None = None
         self._hidden = 0
@@ -50,6 +52,16 @@ class Page(HTMLParser):
         raw = "".join(self._text)
         self.text, self.lines = flat(raw), re.sub(r"\s*\n\s*", "\n", re.sub("[ \t]+", " ", raw)).strip()
 
+    @property
+    def rendered(self) -> str:
+        """Text with a line per block and a tab per cell, as a browser renders it."""
+        lines = (re.sub(r"\t+", "\t", "\t".join(flat(c) for c in x.split("\t"))).strip() for x in "".join(self._shape).split("\n"))
+        return "\n".join(x for x in lines if x)
+
+    def _break(self, tag: str):
+        if tag in LINES or tag in CELLS:
+            self._shape.append("\n" if tag in LINES else "\t")
+
     def _put(self, data: str):
         self._text.append(data)
         for t in self._open:
@@ -81,6 +93,8 @@ class Page(HTMLParser):
         self._row_links = []
 
     def handle_starttag(self, tag, attrs):
+        if tag not in CELLS:
+            self._break(tag)
         if tag in ("script", "style"):
             self._hidden += 1
         elif tag == "table":
@@ -111,6 +125,7 @@ class Page(HTMLParser):
                         self.row_ids.setdefault(id(t["row"]), found.group(1))
 
     def handle_endtag(self, tag):
+        self._break(tag)
         if tag in ("script", "style"):
             self._hidden = max(0, self._hidden - 1)
         elif tag == "a":
@@ -130,6 +145,7 @@ class Page(HTMLParser):
     def handle_data(self, data):
         if not self._hidden:
             self._put(data)
+            self._shape.append(re.sub(r"\s", " ", data))
 
 
 def tables(html: str | None, least_rows: int = 2) -> list[list[list[str]]]:

@@ -9,13 +9,14 @@ from ..functions import clean, documents, names
 
 
 def kind_of(content: Column, path: Column) -> Column:
-    """xls_html, xlsx, xls, csv, pdf or unknown, by the leading bytes, then by the path's ending."""
-    head = F.decode(F.substring(content, 1, 400), "ISO-8859-1")
+    """html, xlsx, xls, text, csv, pdf or unknown, by the leading 1024 bytes, then by the path's ending."""
+    head = F.decode(F.substring(content, 1, 1024), "ISO-8859-1")
     low = F.lower(F.regexp_replace(head, r"^[\sï»¿]+", ""))
     return (
         F.when(F.hex(F.substring(content, 1, 4)) == "504B0304", "xlsx")
         .when(F.hex(F.substring(content, 1, 4)) == "D0CF11E0", "xls")
         .when(low.rlike(r"^<(?:!doctype|html|table|head|body|\?xml|div|meta)") | low.contains("<table"), "html")
+        .when(F.lower(path).endswith(".txt"), "text")
         .when(low.startswith("%pdf") | F.lower(path).endswith(".pdf"), "pdf")
         .when((head != "") & ~F.substring(head, 1, 200).rlike(r"[^\x09\x0A\x0D\x20-\x7E]"), "csv")
         .otherwise("unknown")
@@ -54,15 +55,23 @@ def text_line_names(text: Column) -> Column:
 
 
 def staged_names(files: DataFrame) -> DataFrame:
-    """(source_key, path, pos, name, classification) of staged files. Texts of PDF files are staged as text; other kinds give no names."""
+    """(source_key, path, pos, name, classification) of staged files, by their kind. PDF files are staged as text; other kinds give no names."""
     text = F.decode("content", "UTF-8")
     book = documents.workbook_names(F.col("content"))["names"]
     plain = lambda c: F.transform(c, lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("classification")))
     only = lambda kind, c: files.filter(F.col("kind") == kind).select("source_key", "path", F.posexplode(c).alias("pos", "x"))
-    u = only("xlsx", book).union(only("html", plain(documents.table_names(text)))).union(only("csv", plain(csv_names(text))))
+    u = only("xlsx", book).union(only("html", plain(documents.table_names(text)))).union(only("csv", plain(csv_names(text)))).union(only("text", plain(F.array_distinct(text_line_names(text)))))
     return u.select("source_key", "path", "pos", "x.name", "x.classification")
 
 
+def linked_file(pages: DataFrame, pattern: str = r"\.(pdf|xlsx?|csv)$") -> DataFrame:
+    """(source_key, url) of the first link of each page (source_key, base, html) whose address or text matches."""
+    links = pages.select("source_key", "base", F.posexplode(documents.html_links(F.col("html"))).alias("pos", "l"))
+    links = links.select("source_key", "pos", clean.absolute_url(F.col("l.href"), F.col("base")).alias("url"), F.col("l.text").alias("text"))
+    fits = links.filter(F.col("url").isNotNull() & (F.col("url").rlike(f"(?i){pattern}") | F.col("text").rlike(f"(?i){pattern}")))
+    return fits.groupBy("source_key").agg(F.min_by("url", "pos").alias("url"))
+
+
 def feed_items(feeds: DataFrame) -> DataFrame:
     """Items of RSS texts (feed, xml): pos, title, description, link, pub_date. Undated items have a null date."""
     item = F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<item\b[^>]*>(.*?)</item>"), F.lit(1))).alias("pos", "item")
