@@ -1,40 +1,13 @@
-"""Shared pieces: durable cuts in the lineage, sorted runs of a key, connected components."""
+"""Shared pieces: sorted runs of a key; durable cuts and connected components come from the library."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where all is one machine, a temporary one stands in."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not re.match(r"local(\[|$)", sc.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerloom-"))
-    at = sc.getCheckpointDir()
-    return "file:///" + at[6:].lstrip("/") if at.startswith("file:/") else at
 
+from ..operators.components import connected_components, durable, shared_dir, small
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """A durable cut of df, marked for broadcast where it has at most `rows` rows; beyond that it joins by shuffle."""
-    df = durable(df)
-    return F.broadcast(df) if df.count() <= rows else df
+__all__ = ["bounds", "connected_components", "durable", "runs", "shared_dir", "small"]
 
 
 def runs(batches, key: str):
@@ -59,43 +32,3 @@ def bounds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal keys."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return starts, np.r_[starts[1:], len(keys)]
-
-
-def _contract(batches):
-    """Per batch, the edges as a spanning forest of stars around each part's smallest node."""
-    for b in batches:
-        up: dict[int, int] = {}
-
-        def root(x):
-            while (p := up.setdefault(x, x)) != x:
-                up[x] = x = up[p]
-            return x
-
-        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            a, z = root(u), root(v)
-            if a != z:
-                up[max(a, z)] = min(a, z)
-        pairs = [(x, root(x)) for x in list(up)]
-        pairs = [p for p in pairs if p[0] != p[1]]
-        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
-
-
-def connected_components(edges: DataFrame, made_by=None) -> DataFrame:
-    """(node, root) for every node of edges (u, v longs); root is the smallest node of its component.
-
-    `made_by`: what makes batches of edges out of those of `edges`, run in the same worker as the first contraction, as two Python
-    operators in one stage would hold two workers a task. Alternates large-star and small-star steps until the edges stand still; each step is cut by a checkpoint.
-    No edges: no rows.
-    """
-    e = durable(edges.mapInArrow(lambda batches: _contract(made_by(batches) if made_by else batches), "u long, v long").distinct())
-    seen = None
-    while True:
-        sig = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if sig == seen or not sig[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v")).distinct()
-        seen = sig
-        both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        big = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        small = big.groupBy("u").agg(F.min("v").alias("m"))
-        e = durable(big.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(small).distinct())
