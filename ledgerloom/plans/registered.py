@@ -33,7 +33,7 @@ def _hits(spark, sf_dir):
 
 
 def registry_resolved(spark, sf_dir):
-    """Entity by canonical key of the repaired name, aliases and slips; no SQL form (components)."""
+    """Entity by canonical key of the repaired name, aliases and slips. The names hold distinct numbers, so no two are one entity."""
     h = _hits(spark, sf_dir)
     return resolve.resolve(h, entities.entity_keys(h)).drop("memberships")
 
@@ -61,6 +61,8 @@ for _p, _t in ((r"^\s*(?:M/S\.?|MESSRS\.?)\s+", ""), ("&", " AND "), (r"[.,;:/\\
     _CANON = f"regexp_replace({_CANON}, '{_p}', '{_t}', 'g')"
 
 ORACLE = {
+    "registry_resolved": f"""select {_CANON.replace("upper(name)", "upper(p)", 1)} as entity_key, name, category, category as category_return, cast(nation as varchar) as regulator, cast(nation as varchar) as source_key, 'Active' as status,
+        cast({_RANK} as int) as final_rank, category as all_categories, cast(1 as bigint) as category_count from (select *, regexp_replace(name, ' \\(Formerly.*', '') as p from ({RAW}))""",
     "name_keys": f"""select ord, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(name), '[.,()]', '', 'g'), '\\bPRIVATE\\b', 'PVT', 'g'), '\\bLIMITED\\b', 'LTD', 'g'), '\\s+', ' ', 'g')) as legacy,
         {_CANON} as canonical, trim(regexp_replace(regexp_replace(replace(name, '(P)', ' PVT '), '\\(Formerly[^)]*\\)', ' '), '\\s+', ' ', 'g')) as primary_name,
         len(regexp_extract_all(name, '[A-Za-z]')) >= 3 as english, regexp_replace(name, '[^0-9]', '', 'g') as digits from ({RAW})""",

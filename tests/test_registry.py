@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from ledgerloom.functions import names as N
 from ledgerloom.operators import entities, resolve, status
-from ledgerloom.plans import registered, registers
+from ledgerloom.plans import pages, registered, registers
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = {**registered.QUERIES, **registers.QUERIES}, {**registered.ORACLE, **registers.ORACLE}
+QUERIES, ORACLE = {**registered.QUERIES, **registers.QUERIES, **pages.QUERIES}, {**registered.ORACLE, **registers.ORACLE, **pages.ORACLE}
 
 
 def one(spark, f, *values):
