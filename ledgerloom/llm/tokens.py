@@ -48,7 +48,7 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes. At most `most` words are kept, in two halves: when the newer half is full, it
     replaces the older one, so words that keep coming stay."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
