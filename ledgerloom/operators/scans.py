@@ -119,22 +119,26 @@ def member_scan(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = pages.select("source_key", "path", clean.manager_name(documents.html_lines(_text())).alias("name"))
     names = p.filter("name is not null").groupBy("source_key", "name").agg(F.min("path").alias("path"))
     names = names.select("source_key", F.xxhash64("path").alias("ord"), "name", F.lit(None).cast("string").alias("classification"))
-    n = p.groupBy("source_key").agg(F.count("name").alias("n"), F.count_if(F.col("name").isNull()).alias("bad"))
+    bad = F.array_sort(F.collect_list(F.when(F.col("name").isNull(), F.regexp_extract("path", "([^/]*)$", 1))))
+    n = p.groupBy("source_key").agg(F.count("name").alias("n"), bad.alias("bad"))
     blank = F.lit(None).cast("string")
-    return names, n.select("source_key", blank.alias("error"), F.format_string("%d of %d pages name a company", "n", F.col("n") + F.col("bad")).alias("note"), blank.alias("title"))
+    note = F.concat(F.format_string("%d of %d pages name a company", "n", F.col("n") + F.size("bad")), F.when(F.size("bad") > 0, F.concat(F.lit("; not: "), clean.first_few(F.col("bad"), 8))).otherwise(""))
+    return names, n.select("source_key", blank.alias("error"), note.alias("note"), blank.alias("title"))
 
 
-def intermediary_scan(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """Names of the newest download of each source; where there is none, of its pages up to the walk's end. targets: (source_key, target)."""
+def intermediary_scan(files: DataFrame, targets: DataFrame, top_up: bool = False) -> DataFrame:
+    """Names of the newest download of each source; where there is none (or with `top_up` beside it), of its pages up to the walk's end.
+    targets: (source_key, target)."""
     pages = files.filter("page_ix is not null and kind = 'html'")
     p = pages.select("source_key", (F.col("page_ix") + 1).alias("page_ix"), documents.intermediary_names(_text()).alias("names")).join(F.broadcast(targets), "source_key", "left")
     loads = staged.staged_names(staged.newest(files.filter("page_ix is null"))).select("source_key", "name")
-    n = paging.topped_up(loads, paging.walked_pages(p))
+    n = paging.topped_up(loads, paging.walked_pages(p), top_up)
     return n.select("source_key", F.xxhash64("key").alias("ord"), "name", F.lit(None).cast("string").alias("classification"))
 
 
-def scan(files: DataFrame, sources: DataFrame) -> Scanned:
-    """All registers of `sources` (catalog.sources) from staged files (staged.read_staged). Registers without a file have failed."""
+def scan(files: DataFrame, sources: DataFrame, top_up: bool = False) -> Scanned:
+    """All registers of `sources` (catalog.sources) from staged files (staged.read_staged). Registers without a file have failed.
+    `top_up`: pages add what an intermediary's download lacks."""
     f = numbered(files).withColumnRenamed("source_key", "page")
     own = f.join(F.broadcast(sources.select("source_key", "type", "page", "paginate", "split")), "page")
     of = lambda *types: own.filter(F.col("type").isin(*types)).drop("page", "type")
@@ -151,7 +155,7 @@ def scan(files: DataFrame, sources: DataFrame) -> Scanned:
     ids = durable(ingest.hub_ids(sources.filter("intm_id is not null").select("source_key", "intm_id", "label_hint"), hub))
     names = _union([
         table_scan(html(of("html_table"))), rendered_scan(html(of("aspx_dynamic")), of("aspx_dynamic").filter("kind = 'text'")), books, text_scan(of("pdf_link").filter("kind = 'text'")), banks, members,
-        intermediary_scan(of("sebi_intermediary_custom"), ids.select("source_key", F.col("expected_count").alias("target"))),
+        intermediary_scan(of("sebi_intermediary_custom"), ids.select("source_key", F.col("expected_count").alias("target")), top_up),
     ])
     names = names.groupBy("source_key", "name").agg(F.min("ord").alias("ord"), F.max("classification").alias("classification")).select("source_key", "ord", "name", "classification")
     blank = F.lit(None).cast("string")

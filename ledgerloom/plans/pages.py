@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import clean, documents, names as N
-from ..operators import columns, entities, ingest, paging, releases, reports, resolve, sections, status
+from ..functions import clean, documents, names as N, tabular
+from ..operators import columns, entities, ingest, paging, releases, reports, resolve, scans, sections, status
 from ..operators.components import shared_dir
 from ..sources import catalog, staged
 from ..streaming import status as stream
@@ -144,6 +144,81 @@ def feed_listing(spark, sf_dir):
     return f.unionByName(e.select(F.lit("listing").alias("of"), F.regexp_extract("link", r"r\.in/(\d+)/", 1).cast(f.schema["nation"].dataType).alias("nation"), "title", F.regexp_extract("link", r"([^/]*)$", 1).alias("link"), F.col("effective_date").alias("day")))
 
 
+def sql_table_functions(spark, sf_dir):
+    """Table functions in SQL: links of pages, entries of a numbered list, cells of a table."""
+    tabular.register(spark)
+    spark.read.parquet(f"{sf_dir}/pages.parquet").createOrReplaceTempView("pages")
+    _sql(spark, sf_dir, f"select k, concat('1. ', w, ' Ltd 2. Second ', w) as list, concat('<table><tr><td>a</td></tr><tr><td>', w, '</td></tr></table>') as html from ({SUPPLIERS})", "supplier").createOrReplaceTempView("lists")
+    return spark.sql("""select 'links' as of, page_id as id, count(*) as n, max(href) as last from pages, lateral html_links(html) group by page_id
+        union all select 'entries', k, count(*), max(trim(entry)) from lists, lateral numbered_entries(list) group by k
+        union all select 'rows', k, max(row_ix) + 1L, max(element_at(cells, 1)) from lists, lateral html_tables(html) where row_ix = 1 group by k""")
+
+
+def _book(rows: list) -> bytes:
+    """A workbook of one sheet whose cells are inline strings."""
+    import io
+    import zipfile
+
+    cells = lambda i, r: "".join(f'<c r="{chr(65 + j)}{i}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(r))
+    space, out = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {space} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="S" r:id="a"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="a" Target="worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/worksheets/s.xml", f"<worksheet {space}><sheetData>{''.join(f'<row>{cells(i, r)}</row>' for i, r in enumerate(rows, 1))}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def workbook_roundtrip(spark, sf_dir):
+    """Workbooks with a title row, a header, serial labels and a classification; what is no workbook gives an error and no names."""
+    p = _lines(spark, sf_dir, "concat(w, ' Ltd')").withColumn("ok", F.col("nation") % 5 != 4)
+
+    @F.udf("binary")
+    def book(names, ok):
+        title, head = ["List as on March 5, 2024"], ["Sl. No.", "NBFC Name", "Classification"]
+        return _book([title, head, *([str(i), n, "HFC" if i % 2 else ""] for i, n in enumerate(names)), ["", "Sl. No.", ""]]) if ok else b"PK damaged"
+
+    b = p.select("nation", documents.workbook_names(book("a0", "ok")).alias("b"))
+    return b.select("nation", N.master_list_date(F.col("b.title")).alias("day"), F.col("b.error").isNotNull().alias("failed"), F.explode_outer("b.names").alias("x")).select("nation", "day", "failed", "x.name", "x.classification")
+
+
+def hub_counts_page(spark, sf_dir):
+    """Counts of a hub page by id: linked rows with a plain number, under a header that says count."""
+    p = _lines(spark, sf_dir, "concat('<tr><td>', n, '</td><td><a href=\"l?intmId=', k, '&amp;x=1\">', w, '</a></td><td>', case when n % 4 = 0 then 'n/a' else cast(n * 7 as string) end, '</td></tr>')")
+    html = F.concat(F.lit("<table><tr><td>Sr</td><td>Category</td><td>Count</td></tr>"), _join("a0"), F.lit("</table>"))
+    return p.select("nation", F.explode(documents.hub_counts(html)).alias("h")).select("nation", "h.*")
+
+
+def pension_tables(spark, sf_dir):
+    """Only tables whose header fits, two companies of a cell apart, names with the keyword, none over 180 characters."""
+    p = _lines(spark, sf_dir, "concat('<tr><td>', n, '</td><td>', w, ' Pension Fund Limited New', w, ' Pension Management Ltd</td></tr><tr><td></td><td>', w, ' Other Ltd</td></tr><tr><td></td><td>', repeat('pension ', 30), '</td></tr>')")
+    html = F.concat(F.lit("<table><tr><td>No</td><td>Name</td></tr><tr><td>1</td><td>Stray Pension Ltd</td></tr></table><table><tr><th>No</th><th>Name of the Pension Fund</th></tr>"), _join("a0"), F.lit("</table>"))
+    x = catalog.PENSION
+    return p.select("nation", F.explode(documents.table_names(html, x["tables"], True, x["keyword"])).alias("name"))
+
+
+def release_sequel(spark, sf_dir):
+    """A release's second table without a header goes on where the first one ended, if it counts and is as wide."""
+    p = _lines(spark, sf_dir, "concat('<tr><td>', n, '</td><td>', w, ' Leasing Limited</td></tr>')", least=2)
+    head = F.slice("a0", F.lit(1), F.floor(F.col("total") / 2).cast("int"))
+    tail = F.slice("a0", F.floor(F.col("total") / 2).cast("int") + 1, F.col("total").cast("int"))
+    table = lambda h, a: F.concat(F.lit("<table>" + h), F.array_join(a, ""), F.lit("</table>"))
+    html = F.concat(table("<tr><th>Sr. No</th><th>Name of the company</th></tr>", head), F.lit("<p>and</p>"), table("", tail), F.lit("<table><tr><td>x</td><td>not a name</td></tr></table>"))
+    return p.select("nation", F.explode(documents.release_table_names(html)).alias("name"))
+
+
+def newest_files(spark, sf_dir):
+    f = _sql(spark, sf_dir, "select event_type as source_key, concat('in/', event_type, '/', cast(event_id % 50 as varchar(9)), '-', cast(event_id as varchar(9)), '.html') as path, ts as modified from events", "events")
+    got = scans.numbered(staged.newest(f))
+    return got.select("source_key", "path", F.col("url_ix").cast("long").alias("url_ix"), F.col("page_ix").cast("long").alias("page_ix"))
+
+
+def published_sheets(spark, sf_dir):
+    """The membership relation written as a sheet, and read again as the previous run's rows."""
+    base = f"{shared_dir(spark)}/published-sheets"
+    staged.write_sheets({"combine_list": reports.membership_rows(*registers._hits(spark, sf_dir))}, base)
+    return staged.previous_snapshot(spark, base)
+
+
 # sections
 
 
@@ -288,6 +363,7 @@ def registry_members(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     entity_names, repair_legal_form, english_only, name_overrides, match_cascade, entity_components, table_columns, column_scores, html_to_text, intermediary_pages, member_pages, list_lines, staged_texts, feed_listing,
+    sql_table_functions, workbook_roundtrip, hub_counts_page, pension_tables, release_sequel, newest_files, published_sheets,
     bank_sections, payment_sections, walk_stops, page_names, hub_id_resolution, release_window, release_changes, feed_union_dedupe, unattributed, final_hits, run_totals, master_entries, streaming_status, registry_members,
 )}
 
@@ -312,6 +388,15 @@ ORACLE = {
     "staged_texts": f"""select nation, 'csv,html,html,pdf,xlsx,text' as kinds, w || ', The "Best" Ltd' as csv_name, w || ' Ltd' as line from ({SUPPLIERS})""",
     "feed_listing": f"""select 'feed' as of, nation, 'RBI cancels ' || w || ' & Co' as title, 'x?prid=' || k as link, case when n % 3 > 0 then date '2024-02-01' + cast(n % 28 as int) end as day from ({SUPPLIERS})
         union all select 'listing', nation, 'RBI cancels ' || w || ' & Co', 'x.aspx?prid=' || k, case when n % 3 > 0 then date '2024-02-01' + cast(n % 28 as int) else date '2024-02-01' end from ({SUPPLIERS})""",
+    "sql_table_functions": f"""select 'links' as of, page_id as id, cast(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as bigint) as n, list_max(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as last from pages where html like '%<a href="%'
+        union all select 'entries', k, 2, w || ' Ltd' from ({SUPPLIERS}) union all select 'rows', k, 2, w from ({SUPPLIERS})""",
+    "workbook_roundtrip": f"""select nation, date '2024-03-05' as day, false as failed, w || ' Ltd' as name, case when n % 2 = 0 then 'HFC' end as classification from ({SUPPLIERS}) where nation % 5 <> 4
+        union all select distinct nation, cast(null as date), true, null, null from ({SUPPLIERS}) where nation % 5 = 4""",
+    "hub_counts_page": f"select nation, cast(k as varchar) as intm_id, w as label, cast(n * 7 as int) as expected_count from ({SUPPLIERS}) where n % 4 <> 0",
+    "pension_tables": f"select nation, w || ' Pension Fund Limited' as name from ({SUPPLIERS}) union all select nation, 'New' || w || ' Pension Management Ltd' from ({SUPPLIERS})",
+    "release_sequel": f"select nation, w || ' Leasing Limited' as name from ({SUPPLIERS}) where total >= 2",
+    "newest_files": """with f as (select event_type as source_key, 'in/' || event_type || '/' || (event_id % 50) || '-' || event_id || '.html' as path, ts, event_id from events),
+        b as (select source_key, arg_max(path, (ts, path)) as path, arg_max(event_id, (ts, path)) as id from f group by source_key) select source_key, path, cast(id % 50 as bigint) as url_ix, cast(id as bigint) as page_ix from b""",
     "bank_sections": f"""select nation, 'foreign' as section, w || ' Bank PLC' as name from ({SUPPLIERS}) union all select nation, 'lab', w || ' Local Area Bank Ltd' from ({SUPPLIERS}) union all select nation, 'rrb', w || ' Gramin Bank' from ({SUPPLIERS})
         union all select nation, case when w like '%AAAAB%' then 'non_scheduled' else 'scheduled' end, w || ' State Co-op Bank Ltd.' from ({SUPPLIERS}) union all select distinct nation, 'unmatched', 'nowhere' from ({SUPPLIERS})""",
     "payment_sections": f"select nation, n - 1 as pos, w || case when n = 1 then ' Software Private Limited (formerly ' || w || ' Soft)' else ' Software Pvt Ltd' end as name from ({SUPPLIERS}) where total >= 2",
@@ -333,3 +418,4 @@ ORACLE = {
     "registry_members": f"select {_CANON.replace('upper(name)', 'upper(p)', 1)} as entity_key, 1::bigint as members, category, cast({registered._RANK} as bigint) as final_rank from (select *, regexp_replace(name, ' \\(Formerly.*', '') as p from ({registered.RAW}))",
 }
 ORACLE["streaming_status"] = registers.ORACLE["latest_status"]
+ORACLE["published_sheets"] = f"select source_key, name, category, status from ({registers.ORACLE['membership_rows']})"

@@ -100,6 +100,11 @@ def write_sheets(sheets: dict[str, DataFrame], folder: str, format: str = "parqu
         (w.option("header", True).csv if format == "csv" else getattr(w, format))(f"{folder}/{name}")
 
 
+def write_raw(files: DataFrame, folder: str) -> None:
+    """Downloads as they came, beside the reports: (source_key, path, modified, kind, content)."""
+    files.write.mode("overwrite").partitionBy("source_key").parquet(folder)
+
+
 def previous_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the last published membership relation, for stale fallback."""
     return spark.read.parquet(f"{folder}/combine_list").select("source_key", "name", "category", "status")

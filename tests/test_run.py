@@ -99,7 +99,9 @@ def test_run(spark, tmp_path):
     assert combined["Alpha Finance Private Limited"].status == "Cancelled" and combined["Delta Housing Ltd"].category == "HFCs" and combined["Care Health Insurance Limited"].is_final == "Yes"
     log = {r.source_key: r.status for r in out["run_log"].collect()}
     assert log["rbi_nbfc"] == "ok" and log["rbi_bank_pb"] == "empty" and log["irdai_imf"] == "error" and out["publish"].first().publish
-    assert out["run_totals"].first().sources == 54
+    assert out["run_totals"].first().sources == 54 and {r.source_key for r in out["failed_files"].collect()} == {"rbi_banks", "rbi_pss", "sebi_custodians", "rbi_bank_scheduled_urban_coop"}
+    staged.write_raw(out["failed_files"], str(tmp_path / "raw"))
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 4
     staged.write_sheets({k: out[k] for k in ("combine_list", "run_log", "final_status")}, str(tmp_path / "out"))
     less = {k: v for k, v in FILES.items() if not k.startswith(("irdai_life", "rbi_nbfc/"))}
     again = plan.run(spark, staged_folder(tmp_path / "less", less), until=datetime.date(2024, 4, 30), previous=str(tmp_path / "out"))
