@@ -84,11 +84,12 @@ def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _hashed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that puts keys into hash buckets, and each bucket's start. Two buckets a key or more."""
-    bits = max(1, math.ceil(math.log2(2 * len(keys) + 2)))
+    """The order that puts keys into hash buckets, and each bucket's start. A bucket a key or more."""
+    bits = max(1, math.ceil(math.log2(len(keys) + 2)))
     b = _bucket(keys, bits)
-    by = np.argsort(b, kind="stable")
-    return by, np.searchsorted(b[by], np.arange((1 << bits) + 1)).astype(np.int32)
+    at = np.zeros((1 << bits) + 1, np.int32)
+    np.cumsum(np.bincount(b, minlength=1 << bits), out=at[1:])
+    return np.argsort(b.astype(np.uint32 if bits <= 32 else np.int64), kind="stable"), at
 
 
 def find(keys: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -117,13 +118,14 @@ class Trie:
 
     @classmethod
     def build(cls, levels: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
-        """From each order's distinct codes, sorted, and their counts (a row each, a column per class). Of each code its suffix has to be there."""
+        """From each order's distinct codes, sorted, and their counts (a row each, a column per class). Of each code its suffix has to be there.
+        `levels` is used up, so that no table is held twice."""
         classes = levels[0][1].shape[1]
         log = lambda x: np.log10(np.where(x > 0, x, 1.0))
         gram_keys, alone, behind, context_keys, first, then, norm = ([] for _ in range(7))
         below = floor = None
         for o in range(order + 1):
-            g, n = levels[o]
+            g, n = levels.pop(o)
             c, start = np.unique(g >> 8, return_index=True)
             at = np.repeat(np.arange(len(c)), np.diff(np.r_[start, len(g)]))
             total = np.add.reduceat(n, start, axis=0) if len(c) else np.zeros((0, classes))
@@ -144,9 +146,10 @@ class Trie:
                 onward = np.where(kinds_left > 0, log(kinds_left) - size, 0.0)
                 unseen = np.where(pbehind[up] >= 0, pbehind[up] - size[at], pbehind[up] + onward[at])
             own = np.where(n > 0, log(n), unseen)
+            del unseen
             gram_keys.append(g | (o + 1) << 56)
-            behind.append(own)
-            alone.append(np.where(n > 0, own - log(total + kinds)[at], escape[at] + own))
+            behind.append(own.astype(np.float32))
+            alone.append(np.where(n > 0, own - log(total + kinds)[at], escape[at] + own).astype(np.float32))
             context_keys.append(c | o << 56)
             first.append(escape)
             then.append(onward)
@@ -157,7 +160,10 @@ class Trie:
             k = np.concatenate(keys)
             by, t[f"{where}_at"] = _hashed(k)
             t[f"{where}_keys"] = k[by]
-            t |= {name: np.concatenate(x)[by].astype(np.float32) for name, x in tables.items()}
+            del k
+            for name, x in tables.items():
+                t[name] = np.concatenate(x).astype(np.float32, copy=False)[by]
+                x.clear()
         return cls(order, t)
 
     def logs(self, codes: np.ndarray) -> np.ndarray:
@@ -213,10 +219,8 @@ class Trie:
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
         for k in FIELDS:
-            held = io.BytesIO()
-            np.save(held, self.tables[k])
             with store.open_output_stream(f"{path}/{k}.npy") as f:
-                f.write(held.getbuffer())
+                np.lib.format.write_array(f, np.ascontiguousarray(self.tables[k]), allow_pickle=False)
         with store.open_output_stream(f"{path}/order") as f:
             f.write(str(self.order).encode())
         return folder
