@@ -5,14 +5,16 @@ Pages are written out of table rows by Spark; what comes back is compared with w
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions import clean, documents, names as N, tabular
 from ..operators import columns, entities, ingest, paging, releases, reports, resolve, scans, sections, status
-from ..operators.components import shared_dir
+from ..operators.components import durable, shared_dir
 from ..sources import catalog, staged
 from ..streaming import status as stream
-from . import registered, registers
+from . import registered, registers, run
 from .registers import BASE, DELTAS, _sql
 
 WORD = "translate(s_name, '#0123456789', 'NABCDEFGHIJ')"
@@ -269,6 +271,69 @@ def page_names(spark, sf_dir):
     return paging.topped_up(files, pages, True).select("source_key", "key", "name")
 
 
+def table_page_stop(spark, sf_dir):
+    """A paged table ends in front of the first page that adds no name, though later ones would."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("page_ix"))
+    stale = (F.col("n_nationkey") % 2 == 0) & (F.col("page_ix") == 2 + F.col("n_nationkey") % 5)
+    names = F.transform(F.sequence(F.col("page_ix") * 5 - 4, F.col("page_ix") * 5), lambda i: F.concat("n_name", F.lit(" "), i.cast("string")))
+    first = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: F.concat("n_name", F.lit(" "), i.cast("string")))
+    pages = n.select(F.col("n_name").alias("source_key"), "page_ix", F.when(stale, first).otherwise(names).alias("names"))
+    return paging.table_pages(pages).select("source_key", F.col("page_ix").cast("long").alias("page_ix"), "n_new")
+
+
+def _table(column: str):
+    return F.concat(F.lit("<html><table><tr><th>No</th><th>Name of the Company</th></tr>"), _join(column), F.lit("</table>"))
+
+
+def alternative_addresses(spark, sf_dir):
+    """The first address that gives names counts; a paged list goes on at that address until a page adds none."""
+    p = _lines(spark, sf_dir, "concat('<tr><td>', n, '</td><td>', w, ' One</td></tr>')", "concat('<tr><td>', n, '</td><td>', w, ' Two</td></tr>')", "concat('<tr><td>', n, '</td><td>', w, ' Three</td></tr>')")
+    moved, paged = F.col("nation") % 3 == 0, F.col("nation") % 3 == 2
+    page = lambda url, no, html: F.struct(F.lit(url).alias("url_ix"), F.lit(no).alias("page_ix"), F.encode(html, "UTF-8").alias("content"))
+    rows = [page(0, 0, F.when(moved, F.lit("<html>moved</html>")).otherwise(_table("a0"))), page(0, 1, _table("a1")), page(0, 2, _table("a0")), page(0, 3, _table("a2")), page(1, 0, _table("a2"))]
+    f = p.select(F.concat(F.lit("s"), "nation").alias("source_key"), paged.alias("paginate"), F.lit(False).alias("split"), F.inline(F.array(*rows)))
+    return scans.table_scan(f).select("source_key", "name")
+
+
+def link_choice(spark, sf_dir):
+    """Of a page's links the first whose address or text names a document."""
+    p = spark.read.parquet(f"{sf_dir}/supplier.parquet").withColumn("k", F.col("s_suppkey") % 3)
+    links = F.when(F.col("k") == 0, F.concat(F.lit('<a href="/about">About</a><a href="f/'), "s_suppkey", F.lit('.PDF">List</a><a href="g.pdf">x</a>'))).when(F.col("k") == 1, F.concat(F.lit('<a href="get?id='), "s_suppkey", F.lit('">list.xlsx</a>'))).otherwise("<a href='/about'>About</a>")
+    return staged.linked_file(p.select(F.concat(F.lit("s"), "s_suppkey").alias("source_key"), F.lit("https://r.in/a/b.aspx").alias("base"), links.alias("html")))
+
+
+def scanned_registers(spark, sf_dir):
+    """Registers of several types from one staged folder: an address that moved, texts, shared bank and payment pages, members, intermediaries, funds."""
+    p = _lines(
+        spark, sf_dir, "concat('<tr><td>', n, '</td><td>', w, ' Life Ltd</td></tr>')", "concat(w, ' Housing Ltd')", "concat(w, ' Local Area Bank Ltd')", "concat(n, '. ', w, ' Bank PLC 41 Liberty Building')",
+        "concat(n, '.\t', w, ' Wallet Pvt Ltd\tPrepaid')", "concat('<tr><td>', n, '</td><td>', w, ' Pension Fund Limited</td></tr>')", "concat(n, '. ', w, ' State Co-op Bank Ltd. Plot 5')", least=2,
+    )
+    text = F.concat_ws("\n", F.lit("Foreign banks in India\nSr.No"), _join("a3", "\n"), F.lit("State Co-operative Banks"), _join("a6", "\n"), _join("a2", "\n"))
+    pay = F.concat_ws("\n", F.lit("A. Certificates of Authorisation issued by the bank to set up and operate payment systems in India"), _join("a4", "\n"), F.lit("B. Certificates of Authorisation Revoked\n1. Foo Ltd"))
+    funds = F.concat(F.lit("<html><table><tr><th>No</th><th>Name of the Pension Fund</th></tr>"), _join("a5"), F.lit("</table>"))
+    files = [(0, "irdai_life/0-0.html", F.lit("<html>moved</html>")), (0, "irdai_life/1-0.html", _table("a0")), (1, "nhb_hfc/list.txt", _join("a1", "\n")), (2, "rbi_banks/page.txt", text), (3, "rbi_pss/page.txt", pay),
+             (4, "amfi_amc/1.html", F.concat(F.lit("<html><p>Name of Assest Management Co. : Nation "), F.col("nation").cast("string"), F.lit(" AMC</p>"))), (5, "sebi_credit_rating/0-0.html", _table("a0")), (6, "pfrda_pension_fund/0-0.html", funds)]
+    cell = lambda n, path, c: F.when(F.col("nation") == n, F.struct(F.lit(path.split("/")[0]).alias("source_key"), F.lit("in/" + path).alias("path"), F.encode(c, "UTF-8").alias("content")))
+    f = p.select(F.inline(F.filter(F.array(*[cell(*x) for x in files]), lambda x: x.isNotNull())))
+    f = durable(f.withColumn("modified", F.lit("2024-01-01").cast("timestamp")).withColumn("kind", staged.kind_of(F.col("content"), F.col("path"))).coalesce(1))
+    got = scans.scan(f, catalog.sources(spark))
+    return got.runs.join(got.names, "source_key", "left").select("source_key", F.col("status").alias("run"), "error", "name")
+
+
+def catch_up_changes(spark, sf_dir):
+    """Only listings from the master list's month on are walked, and only releases from its day on; pages give the names, the feed adds to them."""
+    row = "concat('<tr><td>Date : Feb ', n * 7 % 28 + 1, ', 2024</td><td><a href=\"x.aspx?prid=', k, '\">RBI cancels CoR of one NBFC</a></td></tr>')"
+    item = "concat('<item><title>RBI cancels CoR of one NBFC</title><link>https://r.in/x.aspx?prid=', k, '</link><pubDate>Mon, ', lpad(cast(n * 7 % 28 + 1 as string), 2, '0'), ' Feb 2024 10:00:00</pubDate></item>')"
+    p = _lines(spark, sf_dir, row, item)
+    months = F.explode(F.array(F.lit("2024-01"), F.lit("2024-02"), F.lit("2024-03"))).alias("m")
+    utf8 = lambda c: F.encode(c, "UTF-8").alias("content")
+    lists = p.select("nation", "a0", months).filter("m <> '2024-03' and nation < 3").select(F.lit("rbi_releases").alias("source_key"), F.concat(F.lit("in/rbi_releases/"), "m", F.lit(".html")).alias("path"), utf8(F.concat(F.lit("<html><table>"), _join("a0"), F.lit("</table>"))))
+    pages = _sql(spark, sf_dir, SUPPLIERS, "supplier").select(F.lit("rbi_release_pages"), F.concat(F.lit("in/rbi_release_pages/prid-"), "k", F.lit(".html")), utf8(F.concat(F.lit("<html><table><tr><td>Sr</td><td>Name of the company</td></tr><tr><td>1</td><td>"), "w", F.lit(" Finance Limited</td></tr></table>"))))
+    feed = p.filter("nation < 5").select(F.lit("rbi_feed"), F.concat(F.lit("in/rbi_feed/"), F.col("nation").cast("string"), F.lit(".xml")), utf8(_join("a1")))
+    d, _ = run.changes(lists.union(pages).union(feed), datetime.date(2024, 2, 10), datetime.date(2024, 2, 29), "https://r.in/")
+    return d.select("entity_name", "action", "effective_date", "pr_link", "expected_count")
+
+
 def hub_id_resolution(spark, sf_dir):
     """Configured ids whose label does not fit their hint give way to the only row that fits, or carry a warning."""
     n = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").cast("int").alias("k"), F.col("n_name").alias("name"))
@@ -364,6 +429,7 @@ def registry_members(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     entity_names, repair_legal_form, english_only, name_overrides, match_cascade, entity_components, table_columns, column_scores, html_to_text, intermediary_pages, member_pages, list_lines, staged_texts, feed_listing,
     sql_table_functions, workbook_roundtrip, hub_counts_page, pension_tables, release_sequel, newest_files, published_sheets,
+    table_page_stop, alternative_addresses, link_choice, scanned_registers, catch_up_changes,
     bank_sections, payment_sections, walk_stops, page_names, hub_id_resolution, release_window, release_changes, feed_union_dedupe, unattributed, final_hits, run_totals, master_entries, streaming_status, registry_members,
 )}
 
@@ -397,6 +463,18 @@ ORACLE = {
     "release_sequel": f"select nation, w || ' Leasing Limited' as name from ({SUPPLIERS}) where total >= 2",
     "newest_files": """with f as (select event_type as source_key, 'in/' || event_type || '/' || (event_id % 50) || '-' || event_id || '.html' as path, ts, event_id from events),
         b as (select source_key, arg_max(path, (ts, path)) as path, arg_max(event_id, (ts, path)) as id from f group by source_key) select source_key, path, cast(id % 50 as bigint) as url_ix, cast(id as bigint) as page_ix from b""",
+    "table_page_stop": """select n_name as source_key, p as page_ix, cast(5 as bigint) as n_new from nation, generate_series(1, 8) t(p) where n_nationkey % 2 = 1 or p < 2 + n_nationkey % 5""",
+    "alternative_addresses": f"""select 's' || nation as source_key, w || case nation % 3 when 0 then ' Three' else ' One' end as name from ({SUPPLIERS}) union all select 's' || nation, w || ' Two' from ({SUPPLIERS}) where nation % 3 = 2""",
+    "link_choice": "select 's' || s_suppkey as source_key, 'https://r.in/a/' || case s_suppkey % 3 when 0 then 'f/' || s_suppkey || '.PDF' else 'get?id=' || s_suppkey end as url from supplier where s_suppkey % 3 < 2",
+    "scanned_registers": f"""with s as (select * from ({SUPPLIERS}) where total >= 2),
+        n as (select 'irdai_life' as k, w || ' Life Ltd' as name from s where nation = 0 union all select 'nhb_hfc', w || ' Housing Ltd' from s where nation = 1 union all select 'rbi_bank_lab', w || ' Local Area Bank Ltd' from s where nation = 2
+          union all select 'rbi_bank_foreign', w || ' Bank PLC' from s where nation = 2 union all select 'rbi_bank_state_coop', w || ' State Co-op Bank Ltd.' from s where nation = 2 union all select 'rbi_pss_operating', w || ' Wallet Pvt Ltd' from s where nation = 3 union all select distinct 'rbi_pss_revoked', 'Foo Ltd' from s where nation = 3
+          union all select distinct 'amfi_amc', 'Nation 4 AMC' from s where nation = 4 union all select 'sebi_credit_rating', w || ' Life Ltd' from s where nation = 5 union all select 'pfrda_pension_fund', w || ' Pension Fund Limited' from s where nation = 6),
+        c as (select unnest([{", ".join(f"{{k: '{r['source_key']}', t: '{r['type']}', p: '{r['page']}'}}" for r in catalog.CATALOG)}], recursive := true)),
+        f as (select distinct case nation when 0 then 'irdai_life' when 1 then 'nhb_hfc' when 2 then 'rbi_banks' when 3 then 'rbi_pss' when 4 then 'amfi_amc' when 5 then 'sebi_credit_rating' when 6 then 'pfrda_pension_fund' end as p from s)
+        select c.k as source_key, case when t = 'manual' then 'skipped_manual' when f.p is null then 'error' else 'ok' end as run, case when t <> 'manual' and f.p is null then 'no staged file' end as error, name from c left join f on f.p = c.p left join n on n.k = c.k""",
+    "catch_up_changes": f"""with s as (select *, date '2024-02-01' + cast(n * 7 % 28 as int) as day from ({SUPPLIERS}))
+        select w || ' Finance Limited' as entity_name, 'Cancelled' as action, day as effective_date, 'https://r.in/x.aspx?prid=' || k as pr_link, cast(case when nation < 3 then 1 end as int) as expected_count from s where (nation < 3 and day >= date '2024-02-10') or (nation between 3 and 4 and day > date '2024-02-10')""",
     "bank_sections": f"""select nation, 'foreign' as section, w || ' Bank PLC' as name from ({SUPPLIERS}) union all select nation, 'lab', w || ' Local Area Bank Ltd' from ({SUPPLIERS}) union all select nation, 'rrb', w || ' Gramin Bank' from ({SUPPLIERS})
         union all select nation, case when w like '%AAAAB%' then 'non_scheduled' else 'scheduled' end, w || ' State Co-op Bank Ltd.' from ({SUPPLIERS}) union all select distinct nation, 'unmatched', 'nowhere' from ({SUPPLIERS})""",
     "payment_sections": f"select nation, n - 1 as pos, w || case when n = 1 then ' Software Private Limited (formerly ' || w || ' Soft)' else ' Software Pvt Ltd' end as name from ({SUPPLIERS}) where total >= 2",
