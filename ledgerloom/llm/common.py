@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from ..operators.components import connected_components, durable, shared_dir, small
 
-__all__ = ["bounds", "connected_components", "durable", "runs", "shared_dir", "small"]
+__all__ = ["bounds", "connected_components", "durable", "row_keys", "runs", "shared_dir", "small"]
 
 
 def runs(batches, key: str):
@@ -32,3 +34,8 @@ def bounds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal keys."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return starts, np.r_[starts[1:], len(keys)]
+
+
+def row_keys(*columns: str) -> tuple[Column, Column]:
+    """Two 64-bit hashes, k1 and k2, that name a row by its columns. The second starts from another seed, so together they are 128 bits."""
+    return F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(1), *columns).alias("k2")
