@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components, durable, shared_dir, small
 
-__all__ = ["bounds", "connected_components", "durable", "row_keys", "runs", "shared_dir", "small"]
+__all__ = ["bounds", "connected_components", "durable", "packed", "row_keys", "runs", "shared_dir", "small", "unpacked"]
 
 
 def runs(batches, key: str):
@@ -39,3 +39,17 @@ def bounds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def row_keys(*columns: str) -> tuple[Column, Column]:
     """Two 64-bit hashes, k1 and k2, that name a row by its columns. The second starts from another seed, so together they are 128 bits."""
     return F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(1), *columns).alias("k2")
+
+
+def packed(numbers: np.ndarray, width: int) -> bytes:
+    """Integers of 4 or 8 bytes, compressed byte by byte of their place, after the length of that."""
+    planes = np.ascontiguousarray(numbers.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T)
+    data = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return len(data).to_bytes(4, "little") + data
+
+
+def unpacked(data: bytes, n: int, width: int) -> tuple[np.ndarray, bytes]:
+    """`n` packed integers, and what follows them."""
+    end = 4 + int.from_bytes(data[:4], "little")
+    raw = np.frombuffer(pa.decompress(data[4:end], width * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, n).T).view(f"<i{width}").ravel(), data[end:]

@@ -55,27 +55,16 @@ def tally(codes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndar
     return codes[at], np.add.reduceat(weights, at, axis=0) if len(at) else weights
 
 
-def levels(codes: np.ndarray, which: np.ndarray, n: np.ndarray, classes: int, order: int, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Counts of all orders from those of the longest grams by class, for Trie.build.
-
-    Of grams with two context bytes or more, those stay that some class has `least` times: the smallest `least` that leaves `most` codes.
-    A suffix is as frequent as what it ends, so what stays is whole.
-    """
-    sparse = {}
+def levels(codes: np.ndarray, which: np.ndarray, n: np.ndarray, classes: int, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Counts of all orders from those of the longest grams by class, for Trie.build."""
+    out = {}
     for o in range(order, -1, -1):
         key, n = tally((codes & mask(o + 1)) << 8 | which, n)
         codes, which = key >> 8, key & 255
         start = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
-        sparse[o] = codes, which, n, start, np.maximum.reduceat(n, start) if len(start) else n
-    tops = np.sort(np.concatenate([s[4] for o, s in sparse.items() if o >= 2]))
-    least = int(tops[-most - 1]) + 1 if len(tops) > most else 1
-    out = {}
-    for o, (codes, which, n, start, top) in sparse.items():
-        keep = top >= least if o >= 2 else np.ones(len(start), bool)
-        row = np.repeat(np.where(keep, np.cumsum(keep) - 1, -1), np.diff(np.r_[start, len(codes)]))
-        table = np.zeros((int(keep.sum()), classes))
-        table[row[row >= 0], which[row >= 0]] = n[row >= 0]
-        out[o] = codes[start][keep], table
+        table = np.zeros((len(start), classes))
+        table[np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(codes)])), which] = n
+        out[o] = codes[start], table
     return out
 
 
@@ -166,8 +155,11 @@ class Trie:
                 x.clear()
         return cls(order, t)
 
-    def logs(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol behind its context: a row each, a column per class."""
+    def logs(self, codes: np.ndarray, unknown: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each gram's symbol behind its context: a row each, a column per class.
+
+        `unknown`: a mask to fill. Grams whose longest context is not in the tables are marked there, and have zeros.
+        """
         out = np.zeros((len(codes), len(self.floor)))
         left, last = np.arange(len(codes)), np.full(len(codes), -1, np.int64)
         for o in range(self.order, -1, -1):
@@ -185,6 +177,9 @@ class Trie:
             left, key, deep = left[~hit], key[~hit], from_[~hit]
             c = find(self.context_keys, self.context_at, key >> 8 | o << 56)
             known = c >= 0
+            if unknown is not None and o == self.order:
+                unknown[left[~known]] = True
+                left, c, deep, known = left[known], c[known], deep[known], known[known]
             started = deep >= 0
             fresh = known & ~started
             out[left[fresh]] += self.first[c[fresh]]
@@ -193,14 +188,21 @@ class Trie:
         out[left] += self.floor
         return out
 
-    def totals(self, texts: list[bytes], at_once: int = 1 << 19) -> np.ndarray:
-        """log10 probability of each text under each class. Memory is bounded by `at_once` places, however long a text is."""
+    def totals(self, texts: list[bytes], at_once: int = 1 << 19, unknown: list | None = None) -> np.ndarray:
+        """log10 probability of each text under each class. Memory is bounded by `at_once` places, however long a text is.
+
+        `unknown`: a list to fill with (numbers of texts, codes) of the places whose longest context is not in the tables; they do not count.
+        """
         out = np.zeros((len(texts), len(self.floor)))
         held, whose, size = [], [], 0
 
         def settle():
-            sums = np.add.reduceat(self.logs(np.concatenate(held)), np.cumsum([0, *map(len, held[:-1])]), axis=0)
+            codes = np.concatenate(held)
+            mask = None if unknown is None else np.zeros(len(codes), bool)
+            sums = np.add.reduceat(self.logs(codes, mask), np.cumsum([0, *map(len, held[:-1])]), axis=0)
             np.add.at(out, whose, sums)
+            if mask is not None:
+                unknown.append((np.repeat(whose, list(map(len, held)))[mask], codes[mask]))
 
         for i, text in enumerate(texts):
             for at in range(0, len(text) + 1, at_once):
@@ -226,7 +228,7 @@ class Trie:
         return folder
 
 
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=64)
 def load(folder: str) -> Trie:
     """A saved trie: mapped into memory, and so shared by a machine's workers, where the store is a file system; else read."""
     store, path = fs.FileSystem.from_uri(folder)

@@ -54,15 +54,43 @@ def test_languages(spark):
 def test_sample_is_bounded_and_spread(spark):
     df = spark.createDataFrame([(i % 3 or None, f"{'en word ' if i % 2 else 'mot fr '}{i} " * 400, "en" if i % 2 else "fr", "s", "w") for i in range(200)], SCHEMA)
     model = ppm.fit_languages(df, sample_bytes=40_000, passage=512)
-    t = trie.load(model.folder)
+    t = trie.load(model.folders[0])
     assert model.names == ("fr", "en") and len(t.gram_keys) < 40_000
     got = ppm.identify(df, model, ["lang"]).collect()
     assert all(r.lang == r.lang_pred for r in got)
-    assert ppm.fit_languages(df, most_languages=1).names == ("en",)
 
 
-def test_score_prunes_to_its_bound(spark):
-    df = spark.createDataFrame([(*r, "s", "w") for r in rows()], SCHEMA)
-    all_, few = ppm.score(df), ppm.score(df, most=100)
-    assert few.count() == 60 and few.agg({"score": "sum"}).first()[0] < all_.agg({"score": "sum"}).first()[0] < 0
+@pytest.mark.parametrize("together", [8, 3])
+def test_every_language_counts(spark, together):
+    """Forty languages, each with letters of its own, are all predicted, whatever the number of tries."""
+    make = lambda k: "".join(chr(0x4E00 + 30 * k + (7 * j) % 30) + " " * (j % 5 == 0) for j in range(200))
+    df = spark.createDataFrame([(None, make(k), f"l{k:02d}", "s", "w") for k in range(40) for _ in range(2)], SCHEMA)
+    model = ppm.fit_languages(df, together=together)
+    assert len(model.names) == 40 and len(model.folders) == -(-40 // together)
+    assert all(r.lang == r.lang_pred for r in ppm.identify(df, model, ["lang"]).collect())
+
+
+def test_all_grams_count(spark):
+    """However few grams a worker's trie holds, the scores are the same: the others are looked up in the table."""
+    data = rows(90) + [(200, None, "en"), (201, "", "en"), (202, "the " * 4000 + "né" * 300, "en"), (None, "null id", "fr")]
+    df = spark.createDataFrame([(*r, "s", "w") for r in data], SCHEMA)
+    key = lambda r: (-1 if r.doc_id is None else r.doc_id, r.n_tokens)
+    want = {key(r): r for r in ppm.score(df, cached=1 << 40).collect()}
+    for cached in (0, 60, 500):
+        got = ppm.score(df, cached=cached).collect()
+        assert len(got) == len(data) and all(math.isclose(r.score, want[key(r)].score, rel_tol=1e-5) and r.base_score == pytest.approx(want[key(r)].base_score) for r in got)
     assert ppm._least([(1, 50), (2, 30), (64, 5)], 40) == 2 and ppm._least([(1, 50)], 40) == 1 << 62 and ppm._least([], 40) == 1
+
+
+def test_buckets_agree(spark):
+    """Spark and numpy deal a gram to the same bucket, and a gram's suffixes of three context bytes or more go with it."""
+    codes = trie.grams("what the né <quick> fox does".encode(), 5)
+    df = spark.createDataFrame([(int(c),) for c in codes], "code long").select("code", ppm._bucket(df_code(), 13).alias("b"))
+    assert all(r.b == ppm._bucket(codes[codes == r.code], 13)[0] for r in df.collect())
+    assert (ppm._bucket(codes, 13) == ppm._bucket(codes & trie.mask(4), 13)).all()
+
+
+def df_code():
+    from pyspark.sql import functions as F
+
+    return F.col("code")
