@@ -47,10 +47,10 @@ def offsets(docs: DataFrame, unit: str = LINES) -> DataFrame:
     units = units.select("k1", "k2", (F.col("pos") + 1).alias("ordinal"), F.length("unit").alias("chars")).groupBy("k1", "k2", "ordinal").agg(F.max("chars").alias("chars"))
     so_far = Window.partitionBy("k1", "k2").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
     ends = units.select("k1", "k2", "ordinal", F.sum("chars").over(so_far).alias("end"))
-    cut = lambda name, at: F.struct(F.lit(name).alias("cut"), F.col(at).cast("int").alias("ordinal"))
-    asked = docs.select("k1", "k2", F.inline(F.array(cut("low", "low"), cut("high", "high")))).filter("ordinal > 0").distinct()
-    end_of = lambda name: F.max(F.when(F.col("cut") == name, F.col("end")))
-    return asked.join(ends, ["k1", "k2", "ordinal"]).groupBy("k1", "k2").agg(end_of("low").alias("prefix_chars"), end_of("high").alias("cut_chars"))
+    asked = docs.select("k1", "k2", "low", "high").filter("high > 0").distinct()
+    met = asked.join(ends, [asked.k1 == ends.k1, asked.k2 == ends.k2, F.col("ordinal").isin(F.col("low"), F.col("high"))])
+    end_of = lambda cut: F.max(F.when(F.col("ordinal") == F.col(cut), F.col("end")))
+    return met.groupBy(asked.k1, asked.k2).agg(end_of("low").alias("prefix_chars"), end_of("high").alias("cut_chars"))
 
 
 def fill_in_middle(docs: DataFrame, unit: str = LINES, seed: str = "7", rate: int = 100, spm: int = 50, marks: Marks = Marks()) -> DataFrame:
