@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..sources import markup
-from . import clean
+from . import cells, clean
 
 LISTS = "array<string>"
 
@@ -57,18 +57,28 @@ def intermediary_names(html) -> Column:
     return _per_document(LISTS, markup.intermediary_names, html)
 
 
+def html_cells(html) -> Column:
+    """All tables as arrays of their rows that hold anything."""
+    return _per_document("array<array<array<string>>>", lambda h: [[r for r in t if any(r)] for t in markup.Page(h).tables], html)
+
+
 def release_table_names(html) -> Column:
-    return _per_document(LISTS, markup.release_table_names, html)
+    """Names in the tables of a release, each once; without a table that fits: none."""
+    return cells.release_names(html_cells(html))
 
 
 def table_names(html, header_pattern: str | None = None, split: bool = False, keyword: str | None = None) -> Column:
-    """Names of a page's tables: Devanagari stripped, 180 characters at most, each once.
+    """Names of a page's tables, by names_of."""
+    return names_of(html_cells(html), header_pattern, split, keyword)
+
+
+def names_of(tables, header_pattern: str | None = None, split: bool = False, keyword: str | None = None) -> Column:
+    """Names of tables (arrays of rows): Devanagari stripped, 180 characters at most, each once.
 
     `header_pattern`: only tables whose first rows match, where any does. `split`: two companies in one cell become two. `keyword`: only
     names that match.
     """
-    raw = _per_document(LISTS, lambda h: markup.page_table_names(h, header_pattern), html)
-    names = F.array_distinct(F.filter(F.transform(raw, clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE)))
+    names = F.array_distinct(F.filter(F.transform(cells.page_names(tables, header_pattern), clean.strip_devanagari), lambda n: (n != "") & (F.length(n) <= markup.WIDE)))
     names = split_companies(names) if split else names
     return F.filter(names, lambda n: n.rlike(f"(?i){keyword}")) if keyword else names
 

@@ -1,79 +1,46 @@
-"""Header rows and name columns of tables, as steps over their cells. Rows: (doc_id, table_ix, row_ix, cells), rows in order, none empty."""
+"""Header rows, name columns and column scores of tables that come as rows: (doc_id, table_ix, row_ix, cells), none empty.
+
+The rows of a table meet once; what is read from them are the expressions that read pages (functions.cells).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean
+from ..functions import cells, clean
 
 TABLE = ["doc_id", "table_ix"]
-# Header words by priority, words of any name-like header, labels of header rows.
-PRIORITY = ["name", "company", "entity", "institution"]
-NAME_LIKE = r"(?i)name|company|entity|institution|insurer|agent"
-LABELS = r"(?i)name|company|entity|institution|sl\.?\s*no"
-DATE = r"^[A-Za-z]+\s+\d{1,2},?\s+\d{4}$"
-
-
-def cells(rows: DataFrame) -> DataFrame:
-    """(doc_id, table_ix, row_ix, col, value) of all cells."""
-    return rows.select(*TABLE, "row_ix", F.posexplode("cells").alias("col", "value"))
-
-
-def header_rows(rows: DataFrame, within: int = 15) -> DataFrame:
-    """(doc_id, table_ix, header_ix, header): of the first rows with two filled cells the first that holds a label, else the first."""
-    place = F.row_number().over(Window.partitionBy(*TABLE).orderBy("row_ix"))
-    r = rows.withColumn("place", place).filter((F.col("place") <= within) & (F.size(F.filter("cells", lambda c: c != "")) >= 2))
-    labelled = F.exists("cells", lambda c: c.rlike(LABELS))
-    g = r.groupBy(*TABLE).agg(F.min_by(F.struct("row_ix", "cells"), F.struct(~labelled, "row_ix")).alias("h"))
-    return g.select(*TABLE, F.col("h.row_ix").alias("header_ix"), F.col("h.cells").alias("header"))
 
 
-def data_cells(rows: DataFrame) -> DataFrame:
-    """Cells below the header of their table, with the header."""
-    return cells(rows).join(header_rows(rows), TABLE).filter("row_ix > header_ix").withColumn("label", F.coalesce(F.get("header", F.col("col")), F.lit("")))
-
-
-def _share(test: Column) -> Column:
-    return F.avg(F.when(F.col("value") != "", test.cast("double")))
+def tables(rows: DataFrame) -> DataFrame:
+    """(doc_id, table_ix, row_ixs, rows, at, header, data): a table a row; those without a header are left out."""
+    g = rows.groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("row_ix", "cells"))).alias("r"))
+    g = g.select(*TABLE, F.col("r.row_ix").alias("row_ixs"), F.col("r.cells").alias("rows")).withColumn("at", cells.header_at(F.col("rows"))).filter("at is not null")
+    return g.withColumns({"header": F.get("rows", F.col("at")), "data": cells.below(F.col("rows"), F.col("at"))})
 
 
 def column_scores(rows: DataFrame) -> DataFrame:
     """(doc_id, table_ix, col, label, filled, latin_share, text_share, number_share, mean_length, devanagari) per column of data."""
-    v = F.trim("value")
-    latin = F.regexp_replace("value", r"[ऀ-ॿ]", "").rlike("[A-Za-z]{3}")
-    text = (F.length(v) >= 4) & v.rlike("[A-Za-z]{3}") & ~v.rlike(DATE)
-    return data_cells(rows).groupBy(*TABLE, "col").agg(
-        F.first("label").alias("label"), F.count_if(F.col("value") != "").alias("filled"), F.coalesce(_share(latin), F.lit(0.0)).alias("latin_share"), F.coalesce(_share(text), F.lit(0.0)).alias("text_share"),
-        F.coalesce(_share(v.rlike(r"^\d+$")), F.lit(0.0)).alias("number_share"), F.avg(F.when(v != "", F.length(v))).alias("mean_length"), F.coalesce(F.max(F.col("value").rlike(r"[ऀ-ॿ]")), F.lit(False)).alias("devanagari"),
+    t = tables(rows)
+    wide = F.array_max(F.transform("data", F.size))
+    c = t.filter(wide > 0).select(*TABLE, "header", "data", F.explode(F.sequence(F.lit(0), wide - 1)).alias("col"))
+    c = c.select(*TABLE, "col", F.coalesce(F.get("header", F.col("col")), F.lit("")).alias("label"), cells.values(F.col("data"), F.col("col")).alias("v"))
+    v, number = F.col("v"), lambda x: F.trim(x).rlike(r"^\d+$")
+    return c.select(
+        *TABLE, "col", "label", F.size(F.filter(v, lambda x: x != "")).cast("long").alias("filled"), cells.share(v, cells.is_latin).alias("latin_share"), cells.share(v, cells.is_text).alias("text_share"),
+        cells.share(v, number).alias("number_share"), cells.mean_length(v).alias("mean_length"), F.exists(v, lambda x: x.rlike(cells.DEVANAGARI)).alias("devanagari"),
     )
 
 
-def name_columns(rows: DataFrame) -> DataFrame:
-    """(doc_id, table_ix, col): the first column of the first header word by priority, else the first; where that one holds Devanagari, the
-    name-like column with the largest share of Latin text, if that is half or more."""
-    h = header_rows(rows)
-    at = lambda w: F.array_position(F.transform("header", lambda c: F.contains(F.lower(c), F.lit(w))), True)
-    guess = F.coalesce(*[F.nullif(at(w), F.lit(0)) for w in PRIORITY], F.lit(1)).cast("int") - 1
-    s = column_scores(rows)
-    mixed = h.select(*TABLE, guess.alias("guess")).join(s.select(*TABLE, F.col("col").alias("guess"), "devanagari"), [*TABLE, "guess"], "left")
-    best = s.filter(F.col("label").rlike(NAME_LIKE)).groupBy(*TABLE).agg(F.max_by(F.struct("col", "latin_share"), F.struct("latin_share", -F.col("col"))).alias("b"))
-    moved = F.coalesce(F.col("devanagari") & (F.col("b.latin_share") >= 0.5), F.lit(False))
-    return mixed.join(best, TABLE, "left").select(*TABLE, F.when(moved, F.col("b.col")).otherwise(F.col("guess")).alias("col"))
-
-
-def release_columns(rows: DataFrame, least: float = 0.85) -> DataFrame:
-    """(doc_id, table_ix, col) of a release's tables: the column under a name header if enough of it is text, else the text column of the
-    shortest values; tables without either are left out."""
-    s = column_scores(rows)
-    named = s.filter(F.col("label").rlike(r"(?i)name of the compan|name of company|\bname\b"))
-    own = named.groupBy(*TABLE).agg(F.min_by(F.struct("col", "text_share"), "col").alias("own"))
-    other = s.filter(F.col("text_share") >= least).groupBy(*TABLE).agg(F.min_by("col", F.struct("mean_length", "col")).alias("other"))
-    col = F.when(F.col("own.text_share") >= least, F.col("own.col")).otherwise(F.col("other"))
-    return own.join(other, TABLE, "left").select(*TABLE, col.alias("col")).filter("col is not null")
+def release_columns(rows: DataFrame) -> DataFrame:
+    """(doc_id, table_ix, col) of a release's tables; those that no column fits are left out."""
+    return tables(rows).select(*TABLE, cells.release_column(F.col("header"), F.col("data")).alias("col")).filter("col is not null")
 
 
 def table_names(rows: DataFrame) -> DataFrame:
     """(doc_id, table_ix, row_ix, name): the name column's values below the header, Devanagari stripped; blanks and serial labels left out."""
-    n = data_cells(rows).join(name_columns(rows), [*TABLE, "col"]).select(*TABLE, "row_ix", clean.strip_devanagari(F.trim("value")).alias("name"))
-    return n.filter((F.col("name") != "") & ~F.col("name").rlike(r"(?i)^(sl\.?\s*no\.?|s\.?\s*no\.?)$") & (F.length("name") <= 180))
+    t = tables(rows).withColumn("names", cells.values(F.col("data"), cells.name_column(F.col("header"), F.col("data"))))
+    n = t.select(*TABLE, "row_ixs", "at", F.posexplode("names").alias("pos", "name"))
+    n = n.select(*TABLE, F.get("row_ixs", F.col("at") + 1 + F.col("pos")).alias("row_ix"), clean.strip_devanagari(F.trim("name")).alias("name"))
+    return n.filter((F.col("name") != "") & ~F.col("name").rlike(cells.SERIAL) & (F.length("name") <= 180))

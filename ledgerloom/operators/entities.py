@@ -23,13 +23,23 @@ def slips(keys: DataFrame) -> DataFrame:
     return cut.join(least, "form").withColumnRenamed("k", "a").filter("a <> b").filter(alike).select("a", "b")
 
 
-def entity_keys(names: DataFrame) -> DataFrame:
-    """(name, entity_key) per distinct name; the key is the least canonical key of the entity: of names, aliases and one-letter slips."""
+def keyed(names: DataFrame) -> DataFrame:
+    """(name, pk, aks): distinct names with the canonical keys of their primary name and of their aliases."""
     d = names.select("name").filter("name is not null").distinct().withColumn("n", N.entity_names(F.col("name")))
     pk = N.canonical_key(N.repair_legal_form(F.col("n.primary")))
     d = d.withColumn("pk", F.when(pk != "", pk).otherwise(F.regexp_replace(F.upper("name"), "[^A-Z0-9]", "")))
-    d = durable(d.withColumn("aks", F.filter(F.transform("n.aliases", lambda a: N.canonical_key(N.repair_legal_form(a))), lambda k: k != "")).drop("n"))
-    alias = d.select(F.col("pk").alias("a"), F.explode("aks").alias("b"))
+    return d.withColumn("aks", F.filter(F.transform("n.aliases", lambda a: N.canonical_key(N.repair_legal_form(a))), lambda k: k != "")).drop("n")
+
+
+def alias_edges(d: DataFrame) -> DataFrame:
+    """(a, b): the primary key and each alias key of keyed names."""
+    return d.select(F.col("pk").alias("a"), F.explode("aks").alias("b"))
+
+
+def entity_keys(names: DataFrame) -> DataFrame:
+    """(name, entity_key) per distinct name; the key is the least canonical key of the entity: of names, aliases and one-letter slips."""
+    d = durable(keyed(names))
+    alias = alias_edges(d)
     edges = alias.filter("a <> b").union(slips(d.select(F.col("pk").alias("k")).union(alias.select("b"))))
     roots = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return d.join(roots, d.pk == roots.node, "left").select("name", F.coalesce("root", "pk").alias("entity_key"))

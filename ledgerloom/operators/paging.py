@@ -1,11 +1,11 @@
-"""Stop rules of paged listings, as windows over staged pages."""
+"""Stop rules of paged listings, over staged pages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import clean, names as N
+from ..functions import clean, names as N, tabular
 
 
 def _fresh(pages: DataFrame, key) -> DataFrame:
@@ -28,18 +28,9 @@ def walked_pages(pages: DataFrame, most: int = 260, streak: int = 3) -> DataFram
 
     pages: (source_key, page_ix from 1, names, target). Keys are canonical, so spellings of one name are not new.
     """
-    p = _fresh(pages, N.canonical_key).withColumn("sig", clean.page_signature(F.col("names")))
-    order = Window.partitionBy("source_key").orderBy("page_ix")
-    p = p.withColumn("repeat", F.row_number().over(Window.partitionBy("source_key", "sig").orderBy("page_ix")) > 1)
-    p = p.withColumn("dry", (F.sum(F.when(F.col("n_new") == 0, 1).otherwise(0)).over(order.rowsBetween(1 - streak, 0)) == streak) & (F.col("page_ix") >= streak))
-    p = p.withColumn("total", F.sum("n_new").over(order))
-    # a page seen before ends the walk in front of it; the other rules end it behind the page that meets them
-    ends = F.when(F.col("total") >= F.col("target"), "target").when(F.col("dry"), "no new names").when(F.col("page_ix") >= most, "cap")
-    p = p.withColumn("ends", F.when(F.col("repeat"), "repeated page").otherwise(ends))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    p = p.withColumn("over", F.coalesce(F.max(F.col("ends").isNotNull()).over(before), F.lit(False))).withColumn("after", F.lead("ends").over(order))
-    kept = p.filter("not over and not repeat")
-    return kept.select("source_key", "page_ix", "names", "n_new", F.coalesce("ends", F.when(F.col("after") == "repeated page", F.col("after"))).alias("reason"))
+    keys = F.transform("names", N.canonical_key)
+    p = pages.select("source_key", "page_ix", "names", keys.alias("keys"), clean.page_signature(F.col("names")).alias("sig"), "target")
+    return F.udtf(tabular.WalkPages)(p.asTable(), F.lit(most), F.lit(streak))
 
 
 def page_names(pages: DataFrame) -> DataFrame:

@@ -77,11 +77,8 @@ def applied(master: DataFrame, deltas: DataFrame) -> DataFrame:
     return hit.select("master_key", "name", "master_status", "ord", status.alias("status"), "effective_date", "pr_title", "pr_link", "note", F.col("entity_name").alias("pr_name"), kind[F.col("tier")].alias("match_type"))
 
 
-def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Each master row with its changes as an ordered array, its final status, and where that came from."""
-    a = applied(master, deltas)
-    item = F.struct("effective_date", "ord", "status", "pr_title", "pr_link", "note", "pr_name", "match_type")
-    h = a.groupBy("master_key").agg(F.array_sort(F.collect_list(item)).alias("history"))
+def with_history(master: DataFrame, h: DataFrame) -> DataFrame:
+    """Each master row with its changes h (master_key, history: not empty, in order), its final status, and where that came from."""
     last = F.try_element_at("history", F.lit(-1))
     return _collapsed(master).join(h, "master_key", "left").select(
         "master_key", "name", "master_status", F.coalesce(last["status"], "master_status").alias("final_status"), F.when(F.size("history") > 0, "Yes").otherwise("No").alias("changed"), last["effective_date"].alias("effective_date"),
@@ -89,6 +86,12 @@ def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
     )
 
 
+def history(master: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Each master row with its changes as an ordered array, its final status, and where that came from."""
+    item = F.struct("effective_date", "ord", "status", "pr_title", "pr_link", "note", "pr_name", "match_type")
+    return with_history(master, applied(master, deltas).groupBy("master_key").agg(F.array_sort(F.collect_list(item)).alias("history")))
+
+
 def release_summary(master: DataFrame, deltas: DataFrame) -> DataFrame:
     """Per release (its link, else its title): names expected and extracted, by how they matched. Releases without names are left out."""
     tier = match_names(_collapsed(master), deltas).groupBy("entity_name").agg(F.min("tier").alias("tier"))

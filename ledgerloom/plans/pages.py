@@ -6,6 +6,7 @@ Pages are written out of table rows by Spark; what comes back is compared with w
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -119,11 +120,11 @@ def member_pages(spark, sf_dir):
 
 
 def list_lines(spark, sf_dir):
-    """Fund names among a page's lines, below the last heading that has any; shorter and longer spellings of one name once."""
+    """Fund names among the 40 lines below the last heading that has any; shorter and longer spellings of one name once."""
     p = _lines(spark, sf_dir, "concat('• ', w, ' Pension Fund Limited')", least=3)
     text = F.concat_ws("\n", F.lit("About pension funds"), F.lit("List of Pension Funds"), _join("a0", "\n"), F.concat(F.get("a0", F.lit(0)), F.lit(".")), F.lit("Charges of 5 % pension limited"), F.lit("Note"), F.lit("Other Pension Fund Limited"))
     x = catalog.PENSION
-    return p.filter("total < 35").select("nation", F.explode(documents.list_line_names(text, x["heading"], x["keyword"], x["stop"])).alias("name"))
+    return p.select("nation", F.explode(documents.list_line_names(text, x["heading"], x["keyword"], x["stop"])).alias("name"))
 
 
 def staged_texts(spark, sf_dir):
@@ -216,7 +217,7 @@ def newest_files(spark, sf_dir):
 
 def published_sheets(spark, sf_dir):
     """The membership relation written as a sheet, and read again as the previous run's rows."""
-    base = f"{shared_dir(spark)}/published-sheets"
+    base = f"{shared_dir(spark)}/published-sheets-{uuid.uuid4().hex}"
     staged.write_sheets({"combine_list": reports.membership_rows(*registers._hits(spark, sf_dir))}, base)
     return staged.previous_snapshot(spark, base)
 
@@ -412,9 +413,7 @@ def streaming_status(spark, sf_dir):
     spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("customer")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").createOrReplaceTempView("events")
-    base = f"{shared_dir(spark)}/streaming-status"
-    fs = spark._jvm.org.apache.hadoop.fs.Path(base)
-    fs.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs, True)
+    base = f"{shared_dir(spark)}/streaming-status-{uuid.uuid4().hex}"
     stream.write_latest(spark.sql(DELTAS), f"{base}/out", f"{base}/state").awaitTermination()
     return stream.current(spark.read.parquet(f"{base}/out")).select("entity_key", "status", "effective_date", "n_changes")
 
@@ -450,7 +449,7 @@ ORACLE = {
     "html_to_text": r"""select s_suppkey, 'A ' || s_name || ' & Co. B C' as flat, 'A ' || s_name || ' & Co.' || chr(10) || 'B' || chr(9) || 'C' as lines, 'a' || chr(9) || 'b' || chr(10) || 'A ' || s_name || ' & Co.' || chr(10) || 'B' || chr(9) || 'C' as kept from supplier""",
     "intermediary_pages": f"select nation, w || ' Broking Ltd' as name from ({SUPPLIERS})",
     "member_pages": "select s_suppkey, s_name || ' AMC Ltd' as name from supplier",
-    "list_lines": f"select nation, w || ' Pension Fund Limited' as name from ({SUPPLIERS}) where total >= 3 and total < 35",
+    "list_lines": f"select nation, w || ' Pension Fund Limited' as name from ({SUPPLIERS}) where total >= 3 and n <= 40",
     "staged_texts": f"""select nation, 'csv,html,html,pdf,xlsx,text' as kinds, w || ', The "Best" Ltd' as csv_name, w || ' Ltd' as line from ({SUPPLIERS})""",
     "feed_listing": f"""select 'feed' as of, nation, 'RBI cancels ' || w || ' & Co' as title, 'x?prid=' || k as link, case when n % 3 > 0 then date '2024-02-01' + cast(n % 28 as int) end as day from ({SUPPLIERS})
         union all select 'listing', nation, 'RBI cancels ' || w || ' & Co', 'x.aspx?prid=' || k, case when n % 3 > 0 then date '2024-02-01' + cast(n % 28 as int) else date '2024-02-01' end from ({SUPPLIERS})""",

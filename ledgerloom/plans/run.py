@@ -11,6 +11,7 @@ from ..functions import names as N
 from ..operators import entities, ingest, releases, reports, resolve, scans, status
 from ..operators.components import durable
 from ..sources import catalog, staged
+from ..sources.versions import Versions, with_styles
 
 PREVIOUS = "source_key string, name string, category string, status string"
 
@@ -28,22 +29,41 @@ def _number(link):
     return F.regexp_extract(link, r"(?i)prid[=-](\d+)", 1)
 
 
+def _text():
+    return F.decode("content", "UTF-8")
+
+
+def _numbered(pages: DataFrame) -> DataFrame:
+    return pages.select(_number(F.col("path")).alias("number"), _text().alias("html"))
+
+
+def archive_releases(listings: DataFrame, pages: DataFrame, since: datetime.date, base: str) -> DataFrame:
+    """Releases of staged listings (path, content), which are named by month, with their staged pages (path, content), named by number."""
+    month = F.to_date(F.concat(F.regexp_extract("path", r"(\d{4}-\d{2})\.[^./]*$", 1), F.lit("-01")))
+    entries = staged.listing_entries(listings.select(month.alias("month"), F.lit(base).alias("base"), _text().alias("html")))
+    entries = entries.withColumn("ord", (F.year("month") * 12 + F.month("month")).cast("long") * 1_000_000 + F.col("pos"))
+    return releases.relevant(entries, F.lit(since), True).withColumn("number", _number(F.col("link"))).join(_numbered(pages), "number", "left").select("ord", "title", "link", "action", "effective_date", "html")
+
+
+def feed_releases(feeds: DataFrame, pages: DataFrame, since: datetime.date) -> DataFrame:
+    """Releases of staged feeds (path, content); those without a staged page keep their description. Items of one feed keep their order."""
+    items = staged.feed_items(feeds.select(F.col("path").alias("feed"), _text().alias("xml")))
+    at = F.lit(1 << 60) + F.pmod(F.xxhash64("feed"), F.lit(1 << 30)) * (1 << 20) + F.col("pos")
+    items = releases.relevant(items.withColumnRenamed("pub_date", "effective_date").withColumn("ord", at), F.lit(since), False)
+    return items.withColumn("number", _number(F.col("link"))).join(_numbered(pages), "number", "left").select("ord", "title", "link", "action", "effective_date", F.coalesce("html", "description").alias("html"))
+
+
 def changes(files: DataFrame, since: datetime.date, until: datetime.date, base: str) -> tuple[DataFrame, DataFrame]:
     """Dated changes since the master list, and the releases they come from.
 
     Listings are staged by month (rbi_releases/<year>-<month>.html); those from the master list's month to `until` are walked. Releases are
     staged by number (rbi_release_pages/prid-<number>.html). The feed (rbi_feed) adds what the archive lacks.
     """
-    text = F.decode("content", "UTF-8")
     month = F.to_date(F.concat(F.regexp_extract("path", r"(\d{4}-\d{2})\.[^./]*$", 1), F.lit("-01")))
-    window = F.array_contains(catalog.months(F.lit(since), F.lit(until)), F.col("month"))
-    listings = files.filter("source_key = 'rbi_releases'").select(month.alias("month"), F.lit(base).alias("base"), text.alias("html")).filter(window)
-    pages = files.filter("source_key = 'rbi_release_pages'").select(_number(F.col("path")).alias("number"), text.alias("html"))
-    entries = staged.listing_entries(listings).withColumn("ord", (F.year("month") * 12 + F.month("month")).cast("long") * 1_000_000 + F.col("pos"))
-    archive = releases.relevant(entries, F.lit(since), True).withColumn("number", _number(F.col("link"))).join(pages, "number", "left").select("ord", "title", "link", "action", "effective_date", "html")
-    items = staged.feed_items(files.filter("source_key = 'rbi_feed'").select("path", text.alias("xml")).withColumnRenamed("path", "feed"))
-    items = releases.relevant(items.withColumnRenamed("pub_date", "effective_date").withColumn("ord", F.lit(1 << 60) + F.col("pos")), F.lit(since), False)
-    feed = items.withColumn("number", _number(F.col("link"))).join(pages, "number", "left").select("ord", "title", "link", "action", "effective_date", F.coalesce("html", "description").alias("html"))
+    window = F.array_contains(catalog.months(F.lit(since), F.lit(until)), month)
+    pages = files.filter("source_key = 'rbi_release_pages'")
+    archive = archive_releases(files.filter("source_key = 'rbi_releases'").filter(window), pages, since, base)
+    feed = feed_releases(files.filter("source_key = 'rbi_feed'"), pages, since)
     found = durable(releases.deltas(archive))
     return durable(releases.with_feed(found, releases.deltas(feed, count_names=False))), archive
 
@@ -82,3 +102,14 @@ def run(spark: SparkSession, folder: str, override: datetime.date | None = None,
         "source_reconciliation": reports.source_reconciliation(hits, keys, resolved, log), "run_log": log, "run_totals": reports.run_totals(log), "publish": ingest.may_publish(log),
         "failed_files": files.join(F.broadcast(failed), "source_key", "left_semi"),
     }
+
+
+def publish(spark: SparkSession, relations: dict[str, DataFrame], folder: str) -> int | None:
+    """The relations of a run as one new version of `folder`, styles as columns; its number, or None where the gate keeps the run back.
+
+    The membership relation is replaced source by source: one without rows keeps those of its last good run. Readers see all relations of
+    this run or all of the one before.
+    """
+    if not relations["publish"].first().publish:
+        return None
+    return Versions(spark, folder).commit(with_styles(relations), {"combine_list": "source_key"})

@@ -18,12 +18,9 @@ WIDE = 180  # longest plausible name
 NAME_HEADERS = ("name", "company", "entity", "institution")
 HEADER = re.compile(r"name|company|entity|institution|sl\.?\s*no", re.I)
 SERIAL = re.compile(r"^(sl\.?\s*no\.?|s\.?\s*no\.?)$", re.I)
-RELEASE_HEADER = re.compile(r"name of the compan|name of company|\bname\b", re.I)
-RELEASE_LABEL = re.compile(r"^(sl\.?\s*no\.?|s\.?\s*no\.?|sr\.?\s*no\.?|name(\s+of\s+the\s+compan(y|ies))?)$", re.I)
 FUND_END = re.compile(r"(?:limited|ltd\.?|private|pvt\.?(?:\s*limited|\s*ltd\.?)?|\(p\)\s*ltd\.?|company)\s*$", re.I)
 NOT_FUND = re.compile(r"[%₹]|\b(charges|fee|click|scheme)\b", re.I)
 ENTRY = re.compile(r"""(?<![A-Za-z0-9])(\d{1,3})(?:[.)](?=\s+[A-Za-z0-9"'(])|[.)](?=[A-Za-z"'(])|(?=\t[A-Za-z0-9"'(]))""")
-INDIC = re.compile("[ऀ-ॿ]")
 
 
 def flat(text: str) -> str:
@@ -160,40 +157,9 @@ def header_row(rows: list[list[str]]) -> int | None:
     return next((i for i in wide if any(HEADER.search(c) for c in rows[i])), wide[0] if wide else None)
 
 
-def name_column(header: list[str], data: list[list[str]]) -> int:
-    """Column by the priority of header words; where it holds Devanagari, the name-like column with the most Latin text."""
-    at = next((i for w in NAME_HEADERS for i, h in enumerate(header) if w in h.lower()), 0)
-    cell = lambda r, c: r[c] if c < len(r) else ""
-    if not any(INDIC.search(cell(r, at)) for r in data):
-        return at
-    best, share = at, 0.5
-    for c, h in enumerate(header):
-        if re.search(r"name|company|entity|institution|insurer|agent", h, re.I):
-            values = [v for r in data if (v := cell(r, c))]
-            s = sum(bool(re.search("[A-Za-z]{3}", INDIC.sub("", v))) for v in values) / len(values) if values else 0.0
-            if s > share or (s == share and best == at and s >= 0.5):
-                best, share = c, s
-    return best
-
-
-def table_names(rows: list[list[str]]) -> list[str]:
-    """Cells of a table's name column, raw."""
-    h = header_row(rows)
-    if h is None:
-        return []
-    data = rows[h + 1 :]
-    c = name_column(rows[h], data)
-    names = (r[c].strip() for r in data if c < len(r))
-    return [n for n in names if n and not SERIAL.match(n)]
-
-
-def page_table_names(html: str | None, header_pattern: str | None = None) -> list[str]:
-    """Names of all tables, or of those alone whose first three rows match `header_pattern`, where any does."""
-    found = tables(html)
-    if header_pattern:
-        p = re.compile(header_pattern, re.I)
-        found = [t for t in found if any(p.search(c) for r in t[:3] for c in r)] or found
-    return [n for t in found for n in table_names(t)]
+def name_column(header: list[str]) -> int:
+    """Column by the priority of header words, else the first."""
+    return next((i for w in NAME_HEADERS for i, h in enumerate(header) if w in h.lower()), 0)
 
 
 def hub_counts(html: str | None) -> list[tuple[str, str, int]]:
@@ -262,36 +228,6 @@ def list_line_names(text: str | None, heading: str, keyword: str, stop: str | No
     return names(lines)
 
 
-def _share_of_text(rows: list[list[str]], c: int) -> tuple[float, float]:
-    """Share of name-like cells in a column, and their mean length."""
-    v = [r[c].strip() for r in rows if c < len(r) and r[c].strip()]
-    text = [x for x in v if len(x) >= 4 and re.search("[A-Za-z]{3}", x) and not re.match(r"^[A-Za-z]+\s+\d{1,2},?\s+\d{4}$", x)]
-    return (len(text) / len(v), sum(map(len, v)) / len(v)) if v else (0.0, float("inf"))
-
-
-def release_table_names(html: str | None) -> list[str]:
-    """Raw names in a release's tables. Each table follows its own header; one without is read as the sequel of the table before
-    if its width is the same and its first column counts."""
-    out, schema = [], None
-    for rows in tables(html, 1):
-        h = next((i for i, r in enumerate(rows) if any(RELEASE_HEADER.search(c) for c in r)), None)
-        if h is not None:
-            data = rows[h + 1 :]
-            col = next(i for i, c in enumerate(rows[h]) if RELEASE_HEADER.search(c))
-            if _share_of_text(data, col)[0] < 0.85:
-                scored = [(s[1], c) for c in range(max(map(len, data), default=0)) if (s := _share_of_text(data, c))[0] >= 0.85]
-                if not scored:
-                    continue
-                col = min(scored)[1]
-            schema = (col, len(rows[h]))
-        elif schema and all(len(r) == schema[1] and re.match(r"^\d{1,4}$", r[0]) for r in rows):
-            data = rows
-        else:
-            continue
-        out.extend(r[schema[0]] for r in data if schema[0] < len(r) and r[schema[0]] and not RELEASE_LABEL.match(r[schema[0]]))
-    return list(dict.fromkeys(out))
-
-
 def _text_of(node, shared: list[str], formats) -> str:
     kind, value = node.get("t"), node.find("{*}v")
     if kind == "inlineStr":
@@ -356,7 +292,7 @@ def workbook_names(content: bytes) -> tuple[list[tuple[str, str | None]], str |
         first = " ".join(c for c in rows[0] if c)
         title = title or (first if h else None)
         arc = re.search(r"\bARC\b|Asset Reconstruction", f"{sheet}\n{first}", re.I)
-        col = name_column(rows[h], [])
+        col = name_column(rows[h])
         kind = next((i for i, c in enumerate(rows[h]) if c.strip().lower() == "classification"), None)
         for r in rows[h + 1 :]:
             name = r[col].strip() if col < len(r) else ""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean, documents, names
+from .versions import Versions
 
 
 def kind_of(content: Column, path: Column) -> Column:
@@ -105,6 +106,26 @@ def write_raw(files: DataFrame, folder: str) -> None:
     files.write.mode("overwrite").partitionBy("source_key").parquet(folder)
 
 
+RAW = "path string, modified timestamp, kind string, content binary, source_key string, month string"
+
+
+def stage(files: DataFrame, folder: str) -> None:
+    """Adds files (source_key, month as yyyy-MM, path, modified, kind, content) to the raw store, partitioned by source and month."""
+    files.write.mode("append").partitionBy("source_key", "month").parquet(folder)
+
+
+def read_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw store. A filter on source_key or month leaves other partitions unread, and contents that are not asked for stay on disk."""
+    return spark.read.schema(RAW).parquet(folder)
+
+
+def has_raw(spark: SparkSession, folder: str, source_key: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/source_key={source_key}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def previous_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of the last published membership relation, for stale fallback."""
-    return spark.read.parquet(f"{folder}/combine_list").select("source_key", "name", "category", "status")
+    """Rows of the last published membership relation, for stale fallback: of each source those of its last good run, where runs are versions."""
+    v = Versions(spark, folder)
+    last = spark.read.parquet(f"{folder}/combine_list") if v.latest() is None else v.read("combine_list")
+    return last.select("source_key", "name", "category", "status")

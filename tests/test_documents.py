@@ -63,13 +63,35 @@ def test_tables_and_links():
     page = markup.Page("<table><tr><th>Sr No<th>Name</tr><tr><td>1<td>A<br>B <table><tr><td>in</td></tr></table></td></tr></table><script>no</script><a href='/x?prid=1'>A title</a>")
     assert page.tables[0][1] == ["1", "A B in"] or page.tables[0][1][1].startswith("A B")
     assert page.tables[1] == [["in"]] and "no" not in page.text.split() and page.links[-1][:2] == ("/x?prid=1", "A title")
-    assert markup.page_table_names("<table><tr><td>title</td></tr><tr><th>मराठी name</th><th>English name</th></tr><tr><td>अ</td><td>Foo Ltd</td></tr></table>") == ["Foo Ltd"]
     hub = "<table><tr><th>S</th><th>Type</th><th>Count</th></tr><tr><td>1</td><td>Brokers</td><td><a href='x?intmId=30'>12</a></td></tr><tr><td>2</td><td>Agents</td><td>7</td></tr></table>"
     assert markup.hub_counts(hub) == [("30", "Brokers", 12)] and markup.hub_counts(None) == []
     assert markup.intermediary_names("<p>Name\nAlpha Ltd\nRegistration No. 1</p><p>Name\nBeta Ltd\nRegistration No. 2</p>") == ["Alpha Ltd", "Beta Ltd"]
     assert markup.intermediary_names("<table><tr><th>No</th><th>Name</th></tr><tr><td>1</td><td>C</td></tr></table>") == ["C"]
 
 
+def test_table_names(spark):
+    """Title rows, Devanagari columns, serial labels, short rows, tables of one row; releases with sequels and misplaced headers."""
+    row = lambda *c: "<tr>" + "".join(f"<td>{x}</td>" for x in c) + "</tr>"
+    table = lambda *rows: "<table>" + "".join(row(*r) for r in rows) + "</table>"
+    pages = [
+        table(("title",), ("मराठी name", "English name"), ("अ", "Foo Ltd"), ("ब",)), table(("a", "b"), ("1", "2"), ("3", "")), table(("Name", "x")), "", "<p>no table</p>",
+        table(("No", "Company"), ("Sl. No.", "Sl. No."), ("1", " Alpha Ltd ")) + table(("Registered entity",), ("x", "Institution"), ("1", "Beta")),
+        table(("Name", "Agent"), ("क", "C Ltd"), ("ख", "D Ltd")),
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = {r.i: r.n for r in df.select("i", documents.table_names(F.col("html")).alias("n")).collect()}
+    assert got == {0: ["Foo Ltd"], 1: ["1", "3"], 2: [], 3: [], 4: [], 5: ["Alpha Ltd", "Beta"], 6: ["C Ltd", "D Ltd"]}
+    head = ("Sr. No", "Name of the company", "Date")
+    releases_ = [
+        table(head, ("1", "Alpha Finance", "Jan 5, 2024"), ("2", "Beta Finance", "Jan 6, 2024")) + table(("3", "Gamma Finance", "x"), ("4", "Alpha Finance", "y")) + table(("a", "not counted", "z")) + table(("5", "too narrow")),
+        table(("No", "Name", "Firm"), ("1", "12", "Delta Leasing"), ("2", "13", "Epsilon Leasing")) + table(("7", "14", "Zeta Leasing")),
+        table(("Name", "No"), ("1", "2")) + table(("1", "Lost")), table(("Name of the company",), ("Name",), ("Eta Limited",)), None,
+    ]
+    df = spark.createDataFrame(list(enumerate(releases_)), "i int, html string")
+    got = {r.i: r.n for r in df.select("i", documents.release_table_names(F.col("html")).alias("n")).collect()}
+    assert got == {0: ["Alpha Finance", "Beta Finance", "Gamma Finance"], 1: ["Delta Leasing", "Epsilon Leasing", "Zeta Leasing"], 2: [], 3: ["Eta Limited"], 4: []}
+
+
 def test_lists():
     assert [e.split(".")[0] for e in markup.numbered_entries("1. Alpha, Plot 8. Sector 2. Beta 004. x 5. Far 3. Gamma", reject=sections.REJECT)] == ["Alpha, Plot 8", "Beta 004", "Gamma"]
     assert len(markup.numbered_entries("1. A 2. B 1. C 2. D", restart=True)) == 4 and len(markup.numbered_entries("1. A 2. B 1. C 2. D")) == 2 and markup.numbered_entries(None) == []
