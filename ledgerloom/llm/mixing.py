@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import durable, row_keys, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -32,18 +32,30 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 11, size: str | None = None) -> DataFrame:
     """docs with size, source_size, target, copies: floor(rate) plus one hash-seeded Bernoulli copy at the rate's fraction.
 
-    Each row draws from a hash of its own (seed, doc_id, text) alone: what it gets does not depend on other rows but through its
-    source's rate, no row meets another, and only the rates (a row per source) move. A source's words deviate from its target by
-    about sqrt(sum of size**2 * f * (1 - f)).
+    Each row draws from a hash of its own (seed, doc_id, text) and, among rows equal in all columns, its number: what it gets does not depend
+    on other rows but through its source's rate, and only the rates (a row per source) move. A source's words deviate from its target by
+    about sqrt(sum of size**2 * f * (1 - f)). Rows equal in all columns are found by 128-bit hashes and numbered as one row with a count, so that
+    however many there are never meet in a task.
     Null text: size 0. Null source: a source of its own, last. Null doc_id: hashed as the empty string, so its text decides. Rows equal
-    in doc_id and text draw alike; others on their own. Sizes all zero: no copies. Empty table: no rows. Long texts count whole.
-    Columns of these names in docs are replaced.
+    in doc_id and text alone draw alike. Sizes all zero: no copies. Empty table: no rows. Long texts count whole. Columns of these names in
+    docs are replaced.
     """
     n = F.col(size) if size else F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    docs = docs.withColumn("size", n).drop("source_size", "target", "copies", "n_docs")
-    t = small(targets(docs.select("source", "size"), weights, share, most).drop("n_docs").withColumnRenamed("source", "_source"))
-    d = docs.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    told = [F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *([F.coalesce("text", F.lit(""))] if "text" in docs.columns else [])]
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", *told).cast("binary")), 1, 12), 16, 10).cast("long") / float(1 << 48)
+    docs = docs.drop("source_size", "target", "copies", "n_docs", *([] if size else ["size"]))
+    columns = docs.columns
+    named = docs.select("*", *row_keys(*columns))
+    repeated = durable(named.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2"))
+    if repeated.isEmpty():
+        each = docs.withColumn("_j", F.lit(1).cast("long"))
+    else:
+        again = small(repeated)
+        twins = named.join(again, ["k1", "k2"], "left_semi").groupBy(*columns).agg(F.count("*").alias("_n"))
+        alone = named.join(again, ["k1", "k2"], "left_anti").select(*columns, F.lit(1).cast("long").alias("_j"))
+        each = alone.union(twins.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_j")))
+    t = small(targets(docs.select("source", n.alias("size")), weights, share, most).drop("n_docs").withColumnRenamed("source", "_source"))
+    d = each.withColumn("size", n).join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    number = F.when(F.col("_j") > 1, F.concat(F.lit("|"), F.col("_j").cast("string"))).otherwise("")
+    told = [F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *([F.coalesce("text", F.lit(""))] if "text" in columns else [])]
+    u = F.conv(F.substring(F.md5(F.concat(F.concat_ws("|", *told), number).cast("binary")), 1, 12), 16, 10).cast("long") / float(1 << 48)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return d.withColumn("copies", (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long"))
+    return d.withColumn("copies", (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long")).drop("_j")

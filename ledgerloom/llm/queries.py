@@ -36,7 +36,7 @@ def op5_lm_score(spark, sf_dir):
 
 
 def op6_sharding(spark, sf_dir):
-    return sharding.place(_docs(spark, sf_dir).select("doc_id"), SHARDS).select("doc_id", "slot", "shard")
+    return sharding.place(_docs(spark, sf_dir).select("doc_id", "text"), SHARDS).select("doc_id", "slot", "shard")
 
 
 def op7_records(spark, sf_dir):
@@ -87,10 +87,11 @@ _TABLE = ",".join(map(str, sharding.fill_table(SHARDS)))
 ORACLE = {
     "op6_sharding": f"""
         select doc_id, slot, 'shard-' || lpad(string_split('{_TABLE}', ',')[slot + 1], 2, '0') as shard
-        from (select doc_id, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 12) as bigint) % 8191 as slot from documents)""",
+        from (select doc_id, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), text, '')), 1, 12) as bigint) % 8191 as slot from documents)""",
     "op10_mixing": f"""
         with d as (select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
-                     cast('0x' || substr(md5('11|' || coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '')), 1, 12) as bigint) / 281474976710656.0::double as u from documents),
+                     cast('0x' || substr(md5('11|' || coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '') || case when j > 1 then '|' || j else '' end), 1, 12) as bigint) / 281474976710656.0::double as u
+                   from (select *, row_number() over (partition by doc_id, source, text) as j from documents)),
         s as (select source, cast(sum(size) as bigint) as source_size, count(*) as n_docs,
                      [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from d group by source),
         f as (select *, source_size * 2.0::double as cap, sum(source_size) over () * 1.5::double as total from s),
