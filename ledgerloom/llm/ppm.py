@@ -265,7 +265,7 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, common_words: int = 20
     sent = spark.sparkContext.broadcast({r.word.encode(): math.log10(r.c + 1) for r in top})
 
     def run(batches):
-        model, common = trie.load(folder), sent.value
+        (model,), common = trie.load(folder), sent.value
         row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
@@ -383,7 +383,7 @@ def identify(docs: DataFrame, languages: Languages, columns: list[str]) -> DataF
         best, share = ["und"] * len(texts), [0.0] * len(texts)
         can = [i for i, t in enumerate(texts) if t and names and any(map(str.isalpha, t))]
         data = [texts[i].encode().lower() for i in can]
-        logs = np.concatenate([trie.load(f).totals(data) for f in folders], axis=1)
+        logs = np.concatenate([t.totals(data) for t in trie.load(*folders)], axis=1)
         for i, x in zip(can, logs):
             k = int(x.argmax())
             best[i], share[i] = names[k], float(1 / (10.0 ** np.maximum(-300.0, x - x[k])).sum())

@@ -228,9 +228,14 @@ class Trie:
         return folder
 
 
-@functools.lru_cache(maxsize=64)
-def load(folder: str) -> Trie:
-    """A saved trie: mapped into memory, and so shared by a machine's workers, where the store is a file system; else read."""
+@functools.lru_cache(maxsize=1)
+def load(*folders: str) -> tuple[Trie, ...]:
+    """Saved tries: mapped into memory, and so shared by a machine's workers, where the store is a file system; else read. A worker lets go of
+    the ones before."""
+    return tuple(_load(folder) for folder in folders)
+
+
+def _load(folder: str) -> Trie:
     store, path = fs.FileSystem.from_uri(folder)
     tables = {}
     for k in FIELDS:

@@ -54,7 +54,7 @@ def test_languages(spark):
 def test_sample_is_bounded_and_spread(spark):
     df = spark.createDataFrame([(i % 3 or None, f"{'en word ' if i % 2 else 'mot fr '}{i} " * 400, "en" if i % 2 else "fr", "s", "w") for i in range(200)], SCHEMA)
     model = ppm.fit_languages(df, sample_bytes=40_000, passage=512)
-    t = trie.load(model.folders[0])
+    (t,) = trie.load(model.folders[0])
     assert model.names == ("fr", "en") and len(t.gram_keys) < 40_000
     got = ppm.identify(df, model, ["lang"]).collect()
     assert all(r.lang == r.lang_pred for r in got)

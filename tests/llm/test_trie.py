@@ -51,7 +51,7 @@ def build(groups):
 def test_every_symbol_against_brute_force(tmp_path):
     rng = random.Random(1)
     groups = [words(rng, "aab c", 40), words(rng, "abé ", 30), words(rng, "xyz", 5)]
-    t = trie.load(build(groups).save(f"file://{tmp_path}/model"))
+    (t,) = trie.load(build(groups).save(f"file://{tmp_path}/model"))
     tests = words(rng, "abcéx z", 40) + [b"", b"abc" * 200]
     for text in tests:
         got = t.logs(trie.grams(text, ORDER))
