@@ -125,3 +125,15 @@ def release_names(tables: Column) -> Column:
 
     start = shape(F.array().cast("array<string>"), none, none)
     return F.array_distinct(F.aggregate(F.filter(tables, lambda t: F.size(t) >= 1), start, step, lambda s: s["names"]))
+
+
+def intermediary_names(tables: Column, lines: Column) -> Column:
+    """Names under a table header that begins with 'name'; without such a table, the values between Name and Registration No. in the text's lines."""
+    named = lambda r: F.transform(r, lambda c: c.rlike(r"(?i)^name\b"))
+    none = F.array().cast("array<string>")
+    kept = lambda v: F.filter(v, lambda n: (n != "") & (F.length(n) <= 150) & ~n.rlike(SERIAL))
+    under = lambda t, h: let(F.array_position(named(F.get(t, h)), True).cast("int") - 1, lambda col: kept(values(below(t, h), col)))
+    of = lambda t: let(F.array_position(F.transform(t, lambda r: F.exists(r, lambda c: c.rlike(r"(?i)^name\b"))), True).cast("int") - 1, lambda h: F.when((F.size(t) >= 2) & (h >= 0), under(t, h)).otherwise(none))
+    pairs = F.transform(F.regexp_extract_all(lines, F.lit(r"\bName\s*\n?\s*(.+?)\s*\n?\s*Registration No\."), F.lit(1)), F.trim)
+    pairs = F.filter(pairs, lambda n: F.length(n).between(3, 150) & ~n.rlike(r"^\d+$"))
+    return let(F.struct(F.flatten(F.transform(tables, of)).alias("table"), pairs.alias("text")), lambda x: F.array_distinct(F.when(F.size(x["table"]) > 0, x["table"]).otherwise(x["text"])))

@@ -16,6 +16,14 @@ LISTS = "array<string>"
 def _per_document(schema: str, parse, c) -> Column:
     """parse(document) for every document, in Arrow batches. The function is made at call time, as its type needs a session."""
 
+    if schema.startswith("struct"):
+
+        @pandas_udf(schema)
+        def rows(documents: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([parse(d) for d in documents])
+
+        return rows(c)
+
     @pandas_udf(schema)
     def run(documents: pd.Series) -> pd.Series:
         return documents.map(parse)
@@ -23,10 +31,26 @@ def _per_document(schema: str, parse, c) -> Column:
     return run(c)
 
 
+BOOK = "struct<names:array<struct<name:string,classification:string>>,title:string,error:string>"
+
+
+def book_names(content: bytes) -> dict:
+    try:
+        names, title = markup.workbook_names(content)
+    except Exception as e:  # a damaged upload must not stop the other sources
+        return {"names": [], "title": None, "error": f"{type(e).__name__}: {e}"}
+    return {"names": [{"name": n, "classification": c} for n, c in names], "title": title, "error": None}
+
+
 def _fields(*names: str):
     return lambda rows: [dict(zip(names, r)) for r in rows]
 
 
+def _tables_and_lines(html: str | None) -> dict:
+    page = markup.Page(html)
+    return {"tables": [[r for r in t if any(r)] for t in page.tables], "lines": page.lines}
+
+
 def html_tables(html) -> Column:
     """Rows of every table with two rows or more."""
     row = _fields("table_ix", "row_ix", "cells")
@@ -54,7 +78,9 @@ def hub_counts(html) -> Column:
 
 
 def intermediary_names(html) -> Column:
-    return _per_document(LISTS, markup.intermediary_names, html)
+    """Names of a register's page: under a name header, else between labels."""
+    page = _per_document("struct<tables:array<array<array<string>>>,lines:string>", _tables_and_lines, html)
+    return cells.let(page, lambda p: cells.intermediary_names(p["tables"], p["lines"]))
 
 
 def html_cells(html) -> Column:
@@ -104,19 +130,7 @@ def workbook_rows(content) -> Column:
 
 def workbook_names(content) -> Column:
     """struct(names: array of (name, classification), title, error). What is no readable workbook gives no names and an error."""
-
-    @pandas_udf("struct<names:array<struct<name:string,classification:string>>,title:string,error:string>")
-    def run(contents: pd.Series) -> pd.DataFrame:
-        row, out = _fields("name", "classification"), []
-        for c in contents:
-            try:
-                names, title = markup.workbook_names(c)
-                out.append((row(names), title, None))
-            except Exception as e:  # a damaged upload must not stop the other sources
-                out.append(([], None, f"{type(e).__name__}: {e}"))
-        return pd.DataFrame(out, columns=["names", "title", "error"])
-
-    return run(content)
+    return _per_document(BOOK, book_names, content)
 
 
 def prose_names(text: Column) -> Column:

@@ -68,15 +68,16 @@ def changes(files: DataFrame, since: datetime.date, until: datetime.date, base:
     return durable(releases.with_feed(found, releases.deltas(feed, count_names=False))), archive
 
 
-def run(spark: SparkSession, folder: str, override: datetime.date | None = None, until: datetime.date | None = None, previous: str | None = None, base: str = "https://localhost/", top_up: bool = False) -> dict[str, DataFrame]:
+def run(spark: SparkSession, folder: str, override: datetime.date | None = None, until: datetime.date | None = None, previous: str | None = None, base: str = "https://localhost/", top_up: bool = False, store: str | None = None) -> dict[str, DataFrame]:
     """The report relations by name, ready for staged.write_sheets. `base`: address of the staged listings; `previous`: folder of the last published ones, for sources that failed.
 
+    `store`: folder of parse results that spares the pages an earlier run has parsed; the run log states files, bytes and milliseconds per source.
     `override`: day of the master list, where its title states none; `top_up`: pages add what an intermediary's download lacks.
     `failed_files` holds what was staged for sources that failed or gave no name, for diagnosis.
     Without a master list, or a day for it, releases are not applied and their relations are left out.
     """
     files, sources = staged.read_staged(spark, folder), catalog.sources(spark)
-    scanned = scans.scan(files, sources, top_up)
+    scanned = scans.scan(files, sources, top_up, store)
     names, runs = durable(scanned.names), durable(scanned.runs)
     old = staged.previous_snapshot(spark, previous) if previous else spark.createDataFrame([], PREVIOUS)
     got = ingest.ingest(names, runs.drop("title"), sources, catalog.seeds(spark), old)

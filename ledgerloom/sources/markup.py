@@ -177,21 +177,6 @@ def hub_counts(html: str | None) -> list[tuple[str, str, int]]:
     return [(k, *v) for k, v in out.items()]
 
 
-def intermediary_names(html: str | None) -> list[str]:
-    """Names under a table header that begins with 'name'; without such a table, the values between Name and Registration No."""
-    page, out = Page(html), []
-    for rows in ([r for r in t if any(r)] for t in page.tables):
-        h = next((i for i, r in enumerate(rows) if any(re.match(r"name\b", c, re.I) for c in r)), None)
-        if len(rows) < 2 or h is None:
-            continue
-        col = next(i for i, c in enumerate(rows[h]) if re.match(r"name\b", c, re.I))
-        out.extend(r[col] for r in rows[h + 1 :] if col < len(r) and r[col] and len(r[col]) <= 150 and not SERIAL.match(r[col]))
-    if not out:
-        pairs = re.findall(r"\bName\s*\n?\s*(.+?)\s*\n?\s*Registration No\.", page.lines)
-        out = [n for n in map(str.strip, pairs) if 3 <= len(n) <= 150 and not n.isdigit()]
-    return list(dict.fromkeys(out))
-
-
 def numbered_entries(section: str | None, restart: bool = False, reject: str | None = None) -> list[str]:
     """Bodies of the entries of a numbered list. A number counts only if it carries the sequence on (gaps of one pass)."""
     text, bad, marks, last = section or "", re.compile(reject, re.I) if reject else None, [], 0

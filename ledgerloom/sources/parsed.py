@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..functions import documents
 from ..operators.components import durable
 from . import markup
 
@@ -51,6 +52,12 @@ def _page(content: bytes | None) -> dict[str, Any]:
 PAGE = Parser("page", 1, "struct<tables:array<array<struct<cells:array<string>,id:string>>>,links:array<struct<href:string,text:string,around:string>>,text:string,lines:string,rendered:string>", _page)
 
 
+#: Text files, decoded.
+TEXT = Parser("text", 1, "string", lambda content: (content or b"").decode("utf-8", "replace"))
+#: Names of workbooks with their classes, the title, and why a file is none.
+BOOK = Parser("workbook", 1, documents.BOOK, documents.book_names)
+
+
 class Parsed(NamedTuple):
     files: DataFrame  # path, hash, bytes, ms, now (parsed in this run), out
     n_parsed: int

@@ -56,12 +56,16 @@ def text_line_names(text: Column) -> Column:
 
 
 def staged_names(files: DataFrame) -> DataFrame:
-    """(source_key, path, pos, name, classification) of staged files, by their kind. PDF files are staged as text; other kinds give no names."""
+    """(source_key, path, pos, name, classification) of staged files, by their kind. PDF files are staged as text; other kinds give no names.
+
+    Files that come with their parse (doc of pages, book of workbooks) are not parsed again.
+    """
     text = F.decode("content", "UTF-8")
-    book = documents.workbook_names(F.col("content"))["names"]
+    book = F.col("book.names") if "book" in files.columns else documents.workbook_names(F.col("content"))["names"]
+    page = documents.names_of(F.transform("doc.tables", lambda t: F.transform(t, lambda r: r["cells"]))) if "doc" in files.columns else documents.table_names(text)
     plain = lambda c: F.transform(c, lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("classification")))
     only = lambda kind, c: files.filter(F.col("kind") == kind).select("source_key", "path", F.posexplode(c).alias("pos", "x"))
-    u = only("xlsx", book).union(only("html", plain(documents.table_names(text)))).union(only("csv", plain(csv_names(text)))).union(only("text", plain(F.array_distinct(text_line_names(text)))))
+    u = only("xlsx", book).union(only("html", plain(page))).union(only("csv", plain(csv_names(text)))).union(only("text", plain(F.array_distinct(text_line_names(text)))))
     return u.select("source_key", "path", "pos", "x.name", "x.classification")
 
 

@@ -33,8 +33,8 @@ def _rows(query: StreamingQuery) -> int:
 
 def _listen(spark: SparkSession, raw: str, source: str, to_changes, work: str, files: int | None) -> StreamingQuery:
     """New staged files of a source as flat changes in work/<source>. Pages are read from the months of the batch alone."""
-    r = spark.readStream.schema(staged.RAW)
-    stream = (r.option("maxFilesPerTrigger", files) if files else r).option("basePath", raw).parquet(f"{raw}/source_key={source}")
+    r = spark.readStream.schema(staged.RAW.replace(", source_key string", ""))
+    stream = (r.option("maxFilesPerTrigger", files) if files else r).parquet(f"{raw}/source_key={source}")
 
     def save(batch: DataFrame, number: int) -> None:
         batch = batch.persist()

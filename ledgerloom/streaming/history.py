@@ -1,7 +1,7 @@
 """Keyed state over dated changes: what an entity went through, with corrections and withdrawals, and two feeds of which one wins.
 
-A change is a row (ord, entity_name, action, effective_date, pr_title, pr_link, note) with a version and a flag: of the rows of one ord
-the one of the highest version counts, and a withdrawn one takes the change back. So the state, and all that is read from it, is the
+A change is a row (ord, entity_name, action, effective_date, pr_title, pr_link, note) with its origin, a version and a flag: of the rows of
+one change (ord, name, link, origin) the one of the highest version counts, and a withdrawn one takes the change back. So the state, and all that is read from it, is the
 same for any order of arrival and any cut into micro-batches.
 """
 
@@ -17,11 +17,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators import status
 
 CHANGE = "release_ord long, pos long, entity_name string, action string, effective_date date, pr_title string, pr_link string, expected_count int, note string"
-VERSIONED = f"{CHANGE}, version long, withdrawn boolean"
+VERSIONED = f"{CHANGE}, origin string, version long, withdrawn boolean"
 #: One change of an entity, as its history holds it.
 ITEM = "effective_date date, release_ord long, pos long, status string, pr_title string, pr_link string, note string, pr_name string, match_type string"
 FIELDS = [f.split()[0] for f in ITEM.split(", ")]
-MATCHED = f"master_key string, {ITEM}, version long, withdrawn boolean"
+MATCHED = f"master_key string, {ITEM}, origin string, version long, withdrawn boolean"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -35,8 +35,8 @@ def flat(changes: DataFrame) -> DataFrame:
 
 
 def versioned(changes: DataFrame, version: Column | None = None, withdrawn: Column | None = None) -> DataFrame:
-    """Flat changes as first versions that stand, unless told otherwise."""
-    return flat(changes).withColumns({"version": (F.lit(1) if version is None else version).cast("long"), "withdrawn": F.lit(False) if withdrawn is None else withdrawn})
+    """Flat changes of the archive as first versions that stand, unless told otherwise."""
+    return flat(changes).withColumns({"origin": F.lit("archive"), "version": (F.lit(1) if version is None else version).cast("long"), "withdrawn": F.lit(False) if withdrawn is None else withdrawn})
 
 
 class ArchiveWins(StatefulProcessor):
@@ -51,43 +51,45 @@ class ArchiveWins(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.archived = handle.getValueState("archived", "archived boolean")
-        self.standing = handle.getListState("standing", CHANGE)
-        self.waiting = handle.getListState("waiting", CHANGE)
+        row = f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in CHANGE.split(', '))}>>"
+        self.seen = handle.getValueState("seen", f"archived boolean, standing {row}, waiting {row}")  # of one link and name: a handful
 
-    def _told(self, rows: list[tuple], version: int) -> Iterator[Row]:
+    def _told(self, rows: list[tuple], origin: str, version: int = 1) -> Iterator[Row]:
         names = [f.split()[0] for f in VERSIONED.split(", ")]
         for r in rows:
-            yield Row(**dict(zip(names, (*r, version, version > 1))))
+            yield Row(**dict(zip(names, (*r, origin, version, version > 1))))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         names = [f.split()[0] for f in CHANGE.split(", ")]
         archive, feed = [], []
         for r in rows:
             (archive if r["origin"] == "archive" else feed).append(tuple(r[n] for n in names))
-        yield from self._told(archive, 1)
-        if archive and not self.archived.exists():
-            self.archived.update((True,))
-            yield from self._told([tuple(r) for r in self.standing.get()], 2)
-            self.standing.clear()
-            self.waiting.clear()
-            if self.wait_ms:
+        yield from self._told(archive, "archive")
+        archived, standing, waiting = self._load()
+        if archive and not archived:
+            yield from self._told(standing, "feed", 2)
+            if waiting:
                 for t in list(self.handle.listTimers()):
                     self.handle.deleteTimer(t)
-        if feed and not self.archived.exists():
+            self.seen.update((True, [], []))
+        elif feed and not archived:
             if self.wait_ms:
-                self.waiting.appendList(feed)
+                waiting += feed
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
             else:
-                self.standing.appendList(feed)
-                yield from self._told(feed, 1)
+                standing += feed
+                yield from self._told(feed, "feed")
+            self.seen.update((False, standing, waiting))
+
+    def _load(self) -> tuple[bool, list[tuple], list[tuple]]:
+        archived, standing, waiting = self.seen.get() or (False, [], [])
+        return archived, [tuple(r) for r in standing or []], [tuple(r) for r in waiting or []]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        due = [tuple(r) for r in self.waiting.get()]
-        self.waiting.clear()
-        if due:
-            self.standing.appendList(due)
-        yield from self._told(due, 1)
+        archived, standing, waiting = self._load()
+        if waiting:
+            self.seen.update((archived, standing + waiting, []))
+        yield from self._told(waiting, "feed")
 
     def close(self) -> None:
         pass
@@ -97,18 +99,18 @@ class History(StatefulProcessor):
     """Per master row: its changes by ord, each in its highest version. Emits the changes that stand whenever one of them moved."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.changes = handle.getMapState("changes", "release_ord long, pos long, pr_name string, pr_link string", f"{ITEM}, version long, withdrawn boolean")
+        self.changes = handle.getMapState("changes", "release_ord long, pos long, pr_name string, pr_link string, origin string", f"{ITEM}, version long, withdrawn boolean")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         best: dict[tuple, tuple] = {}
         for r in rows:
-            name = (r["release_ord"], r["pos"], r["pr_name"], r["pr_link"])
+            name = (r["release_ord"], r["pos"], r["pr_name"], r["pr_link"], r["origin"])
             new = tuple(r[f] for f in (*FIELDS, "version", "withdrawn"))
             if name not in best or (new[-2], new[-1]) > (best[name][-2], best[name][-1]):
                 best[name] = new
         moved = False
         for name, new in best.items():
-            old = self.changes.getValue(name) if self.changes.containsKey(name) else None
+            old = self.changes.getValue(name)
             if old is None or (new[-2], new[-1]) > (old[-2], old[-1]):
                 self.changes.updateValue(name, new)
                 moved = True
@@ -159,9 +161,9 @@ def match_stream(changes: DataFrame, master: DataFrame, folder: str, state: str,
     """Versioned changes of a stream, each micro-batch met with the master list (ord, name, status) by status.applied; to folder/batch=N."""
 
     def save(batch: DataFrame, number: int) -> None:
-        ord_ = F.struct("release_ord", "pos", "version", "withdrawn")
+        ord_ = F.struct("release_ord", "pos", "origin", "version", "withdrawn")
         hit = status.applied(master, batch.withColumn("ord", ord_))
-        columns = ["master_key", *[F.col(f"ord.{f}").alias(f) if f in ("release_ord", "pos") else F.col(f) for f in FIELDS], "ord.version", "ord.withdrawn"]
+        columns = ["master_key", *[F.col(f"ord.{f}").alias(f) if f in ("release_ord", "pos") else F.col(f) for f in FIELDS], "ord.origin", "ord.version", "ord.withdrawn"]
         hit.select(*columns).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return changes.writeStream.option("checkpointLocation", state).trigger(**(trigger or {"availableNow": True})).foreachBatch(save).start()
@@ -194,7 +196,7 @@ def read_updates(spark: SparkSession, folder: str) -> DataFrame:
 
 def standing(rows: DataFrame) -> DataFrame:
     """Of versioned changes those that stand, in their highest version."""
-    name = ["release_ord", "pos", "entity_name", "pr_link"]
+    name = ["release_ord", "pos", "entity_name", "pr_link", "origin"]
     rest = [f.split()[0] for f in CHANGE.split(", ") if f.split()[0] not in name]
     last = rows.groupBy(*name).agg(F.max_by(F.struct("withdrawn", *rest), F.struct("version", "withdrawn")).alias("l"))
     return last.filter("not l.withdrawn").select(*name, *[f"l.{c}" for c in rest])
