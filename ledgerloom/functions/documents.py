@@ -119,6 +119,10 @@ def numbered_entries(text, restart: bool = False, reject: str | None = None) ->
     return _per_document(LISTS, lambda t: markup.numbered_entries(t, restart, reject), text)
 
 
+def plain_entries(text) -> Column:
+    return _per_document(LISTS, markup.plain_entries, text)
+
+
 def list_line_names(text, heading: str, keyword: str, stop: str | None = None) -> Column:
     return _per_document(LISTS, lambda t: markup.list_line_names(t, heading, keyword, stop), text)
 
@@ -135,11 +139,9 @@ def workbook_names(content) -> Column:
 
 def prose_names(text: Column) -> Column:
     """Names in a numbered list of running text, each cut after its legal form."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?:^|\s)\d{1,3}\.\s+", "\u0001"), "\u0001")
     cut = r"\s{2,}|(?<=Limited|Ltd|Ltd\.|Pvt|Pvt\.|LLP|LLC|Inc|Inc\.|Corp|Corp\.|Corporation|Co\.|PLC|GmbH|N\.V\.),?\s+(?=[A-Z])"
     one = lambda p: F.regexp_replace(F.trim(F.get(F.split(p, cut), F.lit(0))), "[,;:]$", "")
-    body = F.when(F.size(parts) > 1, F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.filter(F.transform(body, one), clean.looks_like_entity))
+    return F.array_distinct(F.filter(F.transform(_per_document(LISTS, markup.prose_entries, text), one), clean.looks_like_entity))
 
 
 def with_release_names(releases: DataFrame) -> DataFrame:
@@ -148,7 +150,7 @@ def with_release_names(releases: DataFrame) -> DataFrame:
     key = lambda n: F.regexp_replace(F.upper(n), "[^A-Z0-9]", "")
     r = releases.withColumn("_table", release_table_names("html")).withColumn("_text", html_text("html"))
     r = r.withColumn("_table", F.filter("_table", clean.acceptable_company)).withColumn("_prose", prose_names(F.col("_text"))).withColumn("_keys", F.transform("_table", key))
-    extra = F.filter("_prose", lambda n: n.rlike(clean.LEGAL_END) & clean.acceptable_company(n) & ~F.array_contains("_keys", key(n)))
+    extra = cells.let(F.col("_keys"), lambda known: F.filter("_prose", lambda n: n.rlike(clean.LEGAL_END) & clean.acceptable_company(n) & ~F.array_contains(known, key(n))))
     short = F.coalesce((F.col("expected_count") > 0) & (F.size("_table") < F.col("expected_count")), F.lit(False))
     names = F.when(F.size("_table") == 0, F.col("_prose")).when(short, F.concat("_table", extra)).otherwise(F.col("_table"))
     return r.withColumn("names", names).drop("_table", "_text", "_prose", "_keys")

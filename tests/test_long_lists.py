@@ -1,7 +1,9 @@
 """Lists of more entries than three digits count, and longer than any page was; the work on them grows with their length alone."""
 
 
+from pyspark.sql import functions as F
 
+from ledgerloom.functions import documents
 from ledgerloom.operators import sections
 from ledgerloom.sources import markup
 
@@ -25,3 +27,8 @@ def test_payment_section_of_four_digits(spark):
     text = "A. Certificates of Authorisation issued by the bank to set up and operate payment systems in India\n" + "\n".join(f"{i}.\t{_name(i)} Software Pvt Ltd\tPrepaid" for i in range(1, 1203)) + "\nB. Certificates of Authorisation Revoked\n1. Foo Ltd"
     got = sections.payment_entities(_one(spark, text), "operating").orderBy("pos").collect()
     assert [r["name"] for r in got] == [f"{_name(i)} Software Pvt Ltd" for i in range(1, 1203)]
+
+
+def test_prose_of_four_digits(spark):
+    text = "Since 2024. these: " + " ".join(f"{i}. {_name(i)} Finance Limited" for i in range(1, 1203))
+    assert _one(spark, text).select(documents.prose_names(F.col("text")).alias("n")).first()["n"] == [f"{_name(i)} Finance Limited" for i in range(1, 1203)]
