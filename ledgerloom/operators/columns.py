@@ -40,7 +40,9 @@ def release_columns(rows: DataFrame) -> DataFrame:
 
 def table_names(rows: DataFrame) -> DataFrame:
     """(doc_id, table_ix, row_ix, name): the name column's values below the header, Devanagari stripped; blanks and serial labels left out."""
-    t = tables(rows).withColumn("names", cells.values(F.col("data"), cells.name_column(F.col("header"), F.col("data"))))
-    n = t.select(*TABLE, "row_ixs", "at", F.posexplode("names").alias("pos", "name"))
-    n = n.select(*TABLE, F.get("row_ixs", F.col("at") + 1 + F.col("pos")).alias("row_ix"), clean.strip_devanagari(F.trim("name")).alias("name"))
+    # the column is chosen once a table, not once a row
+    t = tables(rows).withColumn("names", cells.let(cells.name_column(F.col("header"), F.col("data")), lambda col: cells.values(F.col("data"), col)))
+    # numbers and names side by side in the array: a row that is exploded carries none of its table's arrays
+    n = t.select(*TABLE, F.inline(F.arrays_zip(cells.below(F.col("row_ixs"), F.col("at")).alias("row_ix"), F.col("names").alias("name"))))
+    n = n.select(*TABLE, "row_ix", clean.strip_devanagari(F.trim("name")).alias("name"))
     return n.filter((F.col("name") != "") & ~F.col("name").rlike(cells.SERIAL) & (F.length("name") <= 180))

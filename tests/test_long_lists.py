@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import documents
-from ledgerloom.operators import sections
+from ledgerloom.operators import columns, sections
 from ledgerloom.sources import markup
 
 
@@ -48,3 +48,11 @@ def test_local_area_banks_once_each(spark):
     began = time.time()
     assert _one(spark, text).select(sections.local_area_banks(F.col("text")).alias("n")).first()["n"] == [f"{_name(i)} Local Area Bank Ltd" for i in range(3000)]
     assert time.time() - began < 30
+
+
+def test_long_table(spark):
+    rows = [(1, 0, 0, ["Sl. No", "Name"])] + [(1, 0, i, [str(i), f"{_name(i)} Ltd"]) for i in range(1, 12001)]
+    d = spark.createDataFrame(rows, "doc_id int, table_ix int, row_ix int, cells array<string>")
+    began = time.time()
+    assert columns.table_names(d).agg(F.count("*"), F.sum("row_ix")).first() == (12000, 12000 * 12001 // 2)
+    assert time.time() - began < 30
