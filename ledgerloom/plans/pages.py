@@ -133,7 +133,8 @@ def staged_texts(spark, sf_dir):
     csv, text = F.concat(F.lit("Sr,Full Name,Company\n"), _join("a0", "\n")), F.concat(F.lit("Page 1\nSr. No\n12\nabc\n"), _join("a1", "\n"))
     kinds = [(csv, "x.bin"), (F.concat(F.lit("\n <TABLE>"), csv), "x.xls"), (F.concat(F.lit(" " * 600 + "<p>"), F.lit("<table>")), "y.bin"), (F.lit("%PDF-1.4"), "z"), (F.lit("PK\u0003\u0004"), "w.xls"), (text, "v.txt")]
     kind = F.array_join(F.array(*[staged.kind_of(F.encode(c, "UTF-8"), F.lit(path)) for c, path in kinds]), ",")
-    return p.select("nation", kind.alias("kinds"), F.explode(F.arrays_zip(staged.csv_names(csv).alias("c"), staged.text_line_names(text).alias("t"))).alias("x")).select("nation", "kinds", F.col("x.c").alias("csv_name"), F.col("x.t").alias("line"))
+    told = p.select("nation", kind.alias("kinds"), F.arrays_zip(staged.csv_names(csv).alias("c"), staged.text_line_names(text).alias("t")).alias("z"))  # beside an explode, kinds would be told once a line
+    return told.select("nation", "kinds", F.explode("z").alias("x")).select("nation", "kinds", F.col("x.c").alias("csv_name"), F.col("x.t").alias("line"))
 
 
 def feed_listing(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean, documents, names
+from ..functions import cells, clean, documents, names
 from .versions import Versions
 
 
@@ -38,15 +38,20 @@ def newest(files: DataFrame) -> DataFrame:
 
 def csv_names(text: Column) -> Column:
     """Values of the first header cell that is, or else holds, 'name'; quoted fields may hold commas and doubled quotes."""
-    lines = F.filter(F.split(text, r"\r?\n"), lambda x: x != "")
     cell = lambda x: F.replace(F.regexp_replace(F.trim(F.regexp_replace(x, "^,", "")), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))
     fields = lambda line: F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(?:\s*"(?:[^"]|"")*"\s*|[^,]*)'), F.lit(0)), cell)
-    head = F.transform(fields(F.get(lines, F.lit(0))), F.lower)
-    at = F.array_position(F.transform(head, lambda h: h.contains("name")), True)
-    exact = F.array_position(head, F.lit("name"))
-    col = F.when((exact > 0) & (exact < at), exact).otherwise(at).cast("int")
-    values = F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.trim(F.coalesce(F.get(fields(x), col - 1), F.lit(""))))
-    return F.when(col > 0, F.array_distinct(F.filter(values, lambda n: n != ""))).otherwise(F.array().cast("array<string>"))
+
+    def column(head: Column) -> Column:
+        at, exact = F.array_position(F.transform(head, lambda h: h.contains("name")), True), F.array_position(head, F.lit("name"))
+        return F.when((exact > 0) & (exact < at), exact).otherwise(at).cast("int")
+
+    def values(lines: Column, col: Column) -> Column:
+        v = F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.trim(F.coalesce(F.get(fields(x), col - 1), F.lit(""))))
+        return F.when(col > 0, F.array_distinct(F.filter(v, lambda n: n != ""))).otherwise(F.array().cast("array<string>"))
+
+    # lines and column are worked out once a text, not once a line
+    one = lambda lines: cells.let(column(F.transform(fields(F.get(lines, F.lit(0))), F.lower)), lambda col: values(lines, col))
+    return cells.let(F.filter(F.split(text, r"\r?\n"), lambda x: x != ""), one)
 
 
 def text_line_names(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import documents
 from ledgerloom.operators import columns, sections
-from ledgerloom.sources import markup
+from ledgerloom.sources import markup, staged
 
 
 def _name(i: int) -> str:
@@ -56,3 +56,10 @@ def test_long_table(spark):
     began = time.time()
     assert columns.table_names(d).agg(F.count("*"), F.sum("row_ix")).first() == (12000, 12000 * 12001 // 2)
     assert time.time() - began < 30
+
+
+def test_long_csv(spark):
+    text = "Sr,Full Name\n" + "\n".join(f'{i},"{_name(i)}, Ltd"' for i in range(8000))
+    began = time.time()
+    assert _one(spark, text).select(staged.csv_names(F.col("text")).alias("n")).first()["n"] == [f"{_name(i)}, Ltd" for i in range(8000)]
+    assert time.time() - began < 30
