@@ -63,3 +63,8 @@ def test_long_csv(spark):
     began = time.time()
     assert _one(spark, text).select(staged.csv_names(F.col("text")).alias("n")).first()["n"] == [f"{_name(i)}, Ltd" for i in range(8000)]
     assert time.time() - began < 30
+
+
+def test_state_coop_banks_of_four_digits(spark):
+    text = "State Co-operative Banks\n" + "\n".join(f"{i}. {_name(i)} State Co-op Bank Ltd. Plot 5" for i in range(1, 1203))
+    assert sections.state_coop_banks(_one(spark, text), ["nowhere"]).first()["scheduled"] == [f"{_name(i)} State Co-op Bank Ltd." for i in range(1, 1203)]
