@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
 import pandas as pd
@@ -20,6 +20,9 @@ from ..functions import documents
 from ..operators.components import durable
 from . import markup
 
+#: Documents whose results a worker makes before it hands them on.
+AT_ONCE = 64
+
 
 class Parser(NamedTuple):
     name: str
@@ -28,16 +31,18 @@ class Parser(NamedTuple):
     parse: Callable[[bytes], Any]
 
     def on(self, content: Column) -> Column:
-        """struct(out, ms): the parse of each document in Arrow batches, and the time it took."""
+        """struct(out, ms): the parse of each document, and the time it took. A worker holds the results of AT_ONCE documents, whatever an Arrow batch holds."""
         parse = self.parse
 
         @pandas_udf(f"struct<out:{self.schema},ms:double>")
-        def run(contents: pd.Series) -> pd.DataFrame:
-            rows = []
-            for c in contents:
-                began = time.perf_counter()
-                rows.append((parse(c), (time.perf_counter() - began) * 1000))
-            return pd.DataFrame(rows, columns=["out", "ms"])
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for i in range(0, len(batch), AT_ONCE):
+                    rows = []
+                    for c in batch[i : i + AT_ONCE]:
+                        began = time.perf_counter()
+                        rows.append((parse(c), (time.perf_counter() - began) * 1000))
+                    yield pd.DataFrame(rows, columns=["out", "ms"])
 
         return run(content)
 

@@ -78,3 +78,19 @@ def test_sequence(spark, restart):
     spark.createDataFrame([("d", i, n) for i, n in enumerate(numbers)] + [("e", 0, 9)], "doc_id string, pos int, number int").createOrReplaceTempView("marks")
     got = spark.sql(f"select number from in_sequence(table(marks), {str(restart).lower()}) order by pos").collect()
     assert [r.number for r in got] == ([2, 3, 5, 1, 2] if restart else [2, 3, 5, 6, 8])
+
+
+def test_parse_holds_few_results(spark):
+    class Counted(str):
+        living = 0
+
+        def __new__(cls, text):
+            cls.living += 1
+            return super().__new__(cls, text)
+
+        def __del__(self):
+            type(self).living -= 1
+
+    few = parsed.Parser("few", 1, "string", lambda content: Counted(Counted.living))
+    got = spark.range(0, 1000, 1, 1).select(few.on(F.concat(F.lit(b""), F.col("id").cast("string").cast("binary"))).alias("p")).select("p.out").collect()
+    assert len(got) == 1000 and max(int(r["out"]) for r in got) < 3 * parsed.AT_ONCE
