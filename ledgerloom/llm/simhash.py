@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,18 @@ def variants(fps: np.ndarray) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
+#: Six blocks of ten or eleven bits, and their choices of three.
+PARTS = [np.uint64((1 << z) - (1 << a)) for a, z in zip((0, 11, 22, 33, 44, 54), (11, 22, 33, 44, 54, 64))]
+THREES = list(combinations(range(6), 3))
+
+
+def block_keys(fp: int) -> np.ndarray:
+    """Twenty keys of a fingerprint: three differing bits leave three of six blocks equal, so pairs within them share a key. Ten times fewer
+    keys than `variants`, each of 31 to 33 bits: for rows that are compared on more than their fingerprints where they meet."""
+    f = np.int64(fp).view(np.uint64)
+    return np.array([xxhash.xxh64_intdigest((f & (PARTS[a] | PARTS[b] | PARTS[c])).tobytes(), 1000 + i) for i, (a, b, c) in enumerate(THREES)], np.uint64)
+
+
 def forest(fps: np.ndarray, radius: int = 3) -> list[tuple[np.ndarray, np.ndarray]]:
     """Verified links that connect what is linked within one key; never all pairs."""
     out, rest = [], np.unique(fps)
