@@ -71,6 +71,7 @@ def table_scan(pages: DataFrame) -> DataFrame:
     read = lambda part, names: part.select("source_key", "url_ix", "page_ix", "paginate", names.alias("names"))
     p = read(rows.filter("not split"), documents.names_of(F.col("tables")))
     p = p.union(read(rows.filter("split"), documents.names_of(F.col("tables"), catalog.PENSION["tables"], True, catalog.PENSION["keyword"])))
+    p = durable(p)  # the walk and the choice of an address read it again and again
     by_address = F.concat_ws("/", "source_key", F.col("url_ix").cast("string"))
     walked = paging.table_pages(p.filter("paginate").withColumn("own", F.col("source_key")).withColumn("source_key", by_address).withColumn("page_ix", F.col("page_ix") + 1))
     walked = walked.select(F.col("own").alias("source_key"), "url_ix", "page_ix", "names")
@@ -79,7 +80,7 @@ def table_scan(pages: DataFrame) -> DataFrame:
 
 def rendered_scan(pages: DataFrame, texts: DataFrame) -> DataFrame:
     """Names of rendered pages: their tables, else names among their lines, else those of the linked file, staged as text."""
-    tables = table_scan(pages)
+    tables = durable(table_scan(pages))  # read four times below
     rest = _parsed(pages).join(tables.select("source_key").distinct(), "source_key", "left_anti").filter("split")
     lines = documents.list_line_names(F.col("doc.rendered"), catalog.PENSION["heading"], catalog.PENSION["keyword"], catalog.PENSION["stop"])
     lines = _spread(first_address(rest.select("source_key", "url_ix", "page_ix", lines.alias("names"))))
@@ -160,6 +161,13 @@ def read_all(files: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
     return durable(out.withColumn("content", bare)), spent  # every register type reads from here
 
 
+def parsed_now(files: DataFrame) -> DataFrame:
+    """files with the parse of each page as `doc`, made in one pass for all registers that read it. Pages lose their bytes, as in read_all."""
+    page = F.col("kind") == "html"
+    doc = F.when(page, parsed.PAGE.on(F.when(page, F.col("content")))["out"])
+    return durable(files.withColumn("doc", doc).withColumn("content", F.when(~page, F.col("content"))))
+
+
 def scan(files: DataFrame, sources: DataFrame, top_up: bool = False, store: str | None = None) -> Scanned:
     """All registers of `sources` (catalog.sources) from staged files (staged.read_staged). Registers without a file have failed.
 
@@ -167,10 +175,12 @@ def scan(files: DataFrame, sources: DataFrame, top_up: bool = False, store: str
     has parsed; with it the runs state files, bytes and the milliseconds of new parses per source (sources that share a page each state that
     page's), without it these are null.
     """
-    spent, read = files.sparkSession.createDataFrame([], SPENT), files
     if store:
         read, spent = read_all(files, store)
         spent = durable(spent)
+    else:
+        folders = sources.select(F.col("page").alias("source_key")).distinct()
+        read, spent = parsed_now(files.join(F.broadcast(folders), "source_key", "left_semi")), files.sparkSession.createDataFrame([], SPENT)
     f = numbered(read).withColumnRenamed("source_key", "page")
     own = f.join(F.broadcast(sources.select("source_key", "type", "page", "paginate", "split")), "page")
     of = lambda *types: own.filter(F.col("type").isin(*types)).drop("page", "type")
@@ -183,7 +193,7 @@ def scan(files: DataFrame, sources: DataFrame, top_up: bool = False, store: str
     pages = _parsed(shared.filter("kind = 'html'")).select("source_key", F.col("doc.rendered").alias("text")).union(shared.filter("kind <> 'html'").select("source_key", _text()))
     banks, bank_notes = bank_scan(durable(pages.select(F.col("source_key").alias("doc_id"), clean.structured_text(F.col("text")).alias("text")).coalesce(1)), sources)
     members, member_notes = member_scan(of("amfi_members").filter("kind = 'html'"))
-    hub = f.filter("page = 'sebi_hub' and kind = 'html'").select(F.explode(documents.hub_counts(_text())).alias("h")).select("h.*")
+    hub = files.filter("source_key = 'sebi_hub' and kind = 'html'").select(F.explode(documents.hub_counts(_text())).alias("h")).select("h.*")
     ids = durable(ingest.hub_ids(sources.filter("intm_id is not null").select("source_key", "intm_id", "label_hint"), hub))
     names = _union([
         table_scan(html(of("html_table"))), rendered_scan(html(of("aspx_dynamic")), of("aspx_dynamic").filter("kind = 'text'")), books, text_scan(of("pdf_link").filter("kind = 'text'")), banks, members,
