@@ -107,22 +107,22 @@ def workbook_scan(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def bank_scan(pages: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Names and notes of the registers on shared pages (doc_id, text), by section. A page is parsed once, whatever registers it feeds."""
-    found = []
-    for r in catalog.CATALOG:
-        page = pages.filter(F.col("doc_id") == r["page"])
-        if r["type"] == "rbi_banks_custom":
-            got = sections.bank_section(page, r["section"])
-        elif r["type"] == "rbi_state_coop_custom":
-            s = sections.state_coop_banks(page, catalog.NON_SCHEDULED)
-            got = s.select("doc_id", F.col(r["section"]).alias("names"), F.when(F.size("unmatched") > 0, F.concat(F.lit("keywords without a bank: "), F.array_join("unmatched", ", "))).alias("note"))
-        elif r["type"] == "rbi_pss_custom":
-            e = sections.payment_entities(page, r["section"])
-            got = e.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"), F.lit(None).cast("string").alias("note"))
-        else:
-            continue
-        found.append(got.select(F.lit(r["source_key"]).alias("source_key"), F.lit(0).alias("page_ix"), "names", "note"))
-    got = durable(_union(found).join(F.broadcast(sources.select("source_key")), "source_key", "left_semi"))
-    blank = F.lit(None).cast("string")
+    blank, found = F.lit(None).cast("string"), []
+    of = lambda kind, good=lambda section: True: {r["section"]: r["source_key"] for r in catalog.CATALOG if r["type"] == kind and good(r["section"])}
+    page = lambda kind: pages.filter(F.col("doc_id") == catalog.PAGES[kind])
+    key = lambda by_section: F.create_map(*[F.lit(x) for pair in by_section.items() for x in pair])[F.col("section")].alias("source_key")
+    plain = of("rbi_banks_custom", lambda x: x in sections.BANKS and x != "foreign")
+    found.append(sections.plain_lists(page("rbi_banks_custom"), list(plain)).select(key(plain), "names", blank.alias("note")))
+    for section, source_key in of("rbi_banks_custom", lambda x: x not in plain).items():
+        found.append(sections.bank_section(page("rbi_banks_custom"), section).select(F.lit(source_key).alias("source_key"), "names", "note"))
+    coop = sections.state_coop_banks(page("rbi_state_coop_custom"), catalog.NON_SCHEDULED)
+    note = F.when(F.size("unmatched") > 0, F.concat(F.lit("keywords without a bank: "), F.array_join("unmatched", ", ")))
+    lists = F.array(*[F.struct(F.lit(k).alias("source_key"), F.col(x).alias("names")) for x, k in of("rbi_state_coop_custom").items()])
+    found.append(coop.select(F.inline(lists), note.alias("note")))
+    pay = of("rbi_pss_custom")
+    e = sections.payment_lists(page("rbi_pss_custom"), list(pay)).groupBy("doc_id", "section")
+    found.append(e.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("names")).select(key(pay), "names", blank.alias("note")))
+    got = durable(_union(found).withColumn("page_ix", F.lit(0)).join(F.broadcast(sources.select("source_key")), "source_key", "left_semi"))
     return _spread(got), got.filter("note is not null").select("source_key", blank.alias("error"), "note", blank.alias("title"))
 
 
